@@ -101,8 +101,6 @@ def ngrams(tokens: Column, n: int) -> Column:
     """Windows of ``n`` tokens joined by a blank; none for shorter lines."""
     if n < 1:
         raise ValueError("n must be at least 1")
-    if n == 1:
-        return tokens
     last = F.size(tokens) - n + 1
     # sequence() counts down when its end is below its start, hence the guard.
     starts = F.sequence(F.lit(1), F.greatest(last, F.lit(1)))

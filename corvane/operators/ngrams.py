@@ -25,3 +25,11 @@ def ngram_count(lines: DataFrame, n: int) -> DataFrame:
     tokens = token_table(lines).select("tokens")
     grams = tokens.select(F.explode(text.ngrams(F.col("tokens"), n)).alias("gram"))
     return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def token_rows(tokens: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per token: the kept columns, ``token_no`` from 1, ``token``."""
+    # A one-token window rather than the bare column: an exploded plain column
+    # gets an inferred filter that repeats the normaliser.
+    rows = F.posexplode(text.ngrams(F.col("tokens"), 1)).alias("at", "token")
+    return tokens.select(*keep, rows).select(*keep, (F.col("at") + 1).alias("token_no"), "token")

@@ -14,16 +14,15 @@ SEGMENT_FEATURES = 5000
 
 def tag_word_count(lines: DataFrame, tag: str | None = None) -> DataFrame:
     """``(tag, word, cnt)``: per line every tag occurrence meets every word occurrence."""
-    tokens = token_table(lines.select("line")).select(
-        text.tags_of(F.col("tokens")).alias("tags"),
-        text.words_of(F.col("tokens")).alias("words"),
-    )
+    tokens = token_table(lines.select("line")).select("tokens")
+    own_tags = text.tags_of(F.col("tokens"))
     if tag is not None:
-        tokens = tokens.withColumn("tags", F.filter("tags", lambda t: t == F.lit(tag)))
-    # Words first: one (line tags, word) row per word, doubled per tag later.
-    tagged = tokens.filter(F.size("tags") > 0)
-    rows = tagged.select("tags", F.explode("words").alias("word"))
-    rows = rows.select(F.explode("tags").alias("tag"), "word")
+        own_tags = F.filter(own_tags, lambda t: t == F.lit(tag))
+    # Explode the filter expressions themselves. For a plain array column the
+    # optimiser infers a size() > 0 filter and pushes it down, which runs the
+    # whole normaliser a second time below the scan.
+    tagged = tokens.select("tokens", F.explode(own_tags).alias("tag"))
+    rows = tagged.select("tag", F.explode(text.words_of(F.col("tokens"))).alias("word"))
     return rows.groupBy("tag", "word").agg(F.count(F.lit(1)).alias("cnt"))
 
 

@@ -2,5 +2,6 @@
 
 from corvane.plans import (  # noqa: F401  (importing registers the queries)
     text_plans,
+    vector_plans,
 )
 from corvane.plans.registry import oracle_sql, queries  # noqa: F401

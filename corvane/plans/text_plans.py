@@ -88,7 +88,7 @@ pair_sums AS (
 
 def doc_lines(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    return spread(ngrams.line_table(docs, ["doc_id", "lang", "source"]), "doc_id", "line_no")
+    return ngrams.line_table(spread(docs, "doc_id"), ["doc_id", "lang", "source"])
 
 
 def posts(spark: SparkSession, folder: str) -> DataFrame:
@@ -171,9 +171,7 @@ def normalize_text(spark, folder):
 )
 def tokenize(spark, folder):
     tokens = ngrams.token_table(doc_lines(spark, folder))
-    return tokens.select("doc_id", "line_no", F.posexplode("tokens").alias("at", "token")).select(
-        "doc_id", "line_no", "token", (F.col("at") + 1).alias("token_no")
-    )
+    return ngrams.token_rows(tokens, ["doc_id", "line_no"])
 
 
 @plan(
@@ -304,7 +302,7 @@ def decode_vector(spark, folder):
 def sparse_dot(spark, folder):
     """Dot product of each document's word counts with those of ``benchmark``."""
     tokens = ngrams.token_table(doc_lines(spark, folder))
-    doc_words = tokens.select("doc_id", F.explode("tokens").alias("word"))
+    doc_words = ngrams.token_rows(tokens, ["doc_id"]).withColumnRenamed("token", "word")
     doc_words = doc_words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("cnt"))
     items = load(spark, folder, "benchmark").select(F.col("text").alias("line"))
     other = ngrams.ngram_count(items, 1).select(F.col("gram").alias("word"), F.col("cnt").alias("other"))
