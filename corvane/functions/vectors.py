@@ -7,6 +7,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once, not once per array element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def doubles(x: Column) -> Column:
     return x.cast("array<double>")
 
@@ -28,7 +33,7 @@ def l2_norm(x: Column) -> Column:
 def l2_normalize(x: Column) -> Column:
     """x / |x|; a zero vector has no direction and gives nulls."""
     norm = F.nullif(l2_norm(x), F.lit(0.0))
-    return F.transform(x, lambda v: v / norm)
+    return bound(norm, lambda n: F.transform(x, lambda v: v / n))
 
 
 def vector_table_literal(centres: np.ndarray) -> Column:
@@ -51,9 +56,13 @@ def exponentials(x: Column) -> Column:
 
 
 def softmax(x: Column) -> Column:
-    powers = exponentials(F.transform(x, lambda v: v - F.array_max(x)))
-    total = F.aggregate(powers, F.lit(0.0), lambda acc, v: acc + v)
-    return F.transform(powers, lambda v: v / total)
+    powers = bound(F.array_max(x), lambda top: exponentials(F.transform(x, lambda v: v - top)))
+    return bound(powers, _shares)
+
+
+def _shares(x: Column) -> Column:
+    total = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v)
+    return bound(total, lambda t: F.transform(x, lambda v: v / t))
 
 
 def top_class(scores: Column) -> Column:

@@ -25,7 +25,7 @@ def tsv_field(line: Column, at: int) -> Column:
 def bracketed_vector(field: Column) -> Column:
     """``[1.0, 2.5]`` -> array<double>: first and last character go."""
     inner = F.substring(field, F.lit(2), F.length(field) - 2)
-    return F.transform(F.split(inner, ",", -1), F.trim).cast("array<double>")
+    return F.transform(F.split(inner, ",", -1), lambda v: F.trim(v)).cast("array<double>")
 
 
 def point_tokens(line: Column) -> Column:
