@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Results depend on these exact patterns (Java regex syntax).
 URL = r"\b(https?|ftp|file)://[-a-zA-Z0-9+&@#/%?=~_|!:,.;]*[-a-zA-Z0-9+&@#/%=~_|]\b"
-COLONS = r"[:;]"
+COLONS = ":;"
 TRAILING_PUNCT = r"\p{Punct}(\s+|$)"
 ALONE_PUNCT = r"(^|\s+)\p{Punct}+(\s+|$)"
 # "+-=" is a range, so one leading digit goes as well; "#" and "@" stay.
@@ -15,7 +15,9 @@ LEADING_PUNCT = r"(^|\s+)[<>,./?!$%^&*()_+-=]"
 NON_ASCII = r"[^\x00-\x80]+"
 # A match takes its separators with it: in a run every second number stays.
 DIGIT_TOKENS = r"(^|\s+)\d+(\s+|$)"
-SPACES = r"\s+"
+# Same outcome as replacing r"\s+" by a blank, without a match for every single
+# blank: longer runs, or one separator that is no blank.
+UNEVEN_SPACES = r"\s{2,}|[\t\n\x0B\f\r]"
 
 LINE_END = r"\r\n|[\r\n]"
 # Everything up to and including the blank counts as trimmable.
@@ -40,7 +42,7 @@ def drop_urls(text: Column) -> Column:
 
 
 def split_colons(text: Column) -> Column:
-    return F.regexp_replace(text, COLONS, " ")
+    return F.translate(text, COLONS, "  ")
 
 
 def strip_trailing_punct(text: Column) -> Column:
@@ -64,7 +66,7 @@ def drop_digit_tokens(text: Column) -> Column:
 
 
 def squeeze(text: Column) -> Column:
-    return F.btrim(F.regexp_replace(text, SPACES, " "), F.lit(TRIMMED))
+    return F.btrim(F.regexp_replace(text, UNEVEN_SPACES, " "), F.lit(TRIMMED))
 
 
 def normalize(text: Column, colons: bool = True) -> Column:
@@ -82,7 +84,8 @@ def normalize(text: Column, colons: bool = True) -> Column:
 
 def tokenize(text: Column, colons: bool = True) -> Column:
     """Normalised tokens; a line without any gives one empty token."""
-    return F.split(normalize(text, colons), SPACES, -1)
+    # Only single blanks are left between tokens.
+    return F.split(normalize(text, colons), " ", -1)
 
 
 def is_tag(token: Column) -> Column:

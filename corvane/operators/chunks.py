@@ -14,25 +14,32 @@ from pyspark.sql import functions as F
 CHUNK_ROWS = 4096
 
 
-def parts_per_key(table: DataFrame, key: str, chunk_rows: int, name: str = "parts") -> DataFrame:
-    """Keys larger than one chunk, with the number of chunks they need."""
+def parts_per_key(table: DataFrame, key: str, chunk_rows: int, value: str, name: str = "parts") -> DataFrame:
+    """Keys larger than one chunk, with the number of chunks they need.
+
+    ``value`` is never null. Testing its maximum changes no result, but makes
+    this branch ask for the same columns as the join does, so that both reuse
+    one shuffle; counting alone would compute the table a second time.
+    """
     return (
         table.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") > chunk_rows)
+        .agg(F.count(F.lit(1)).alias("rows"), F.max(value).alias("peak"))
+        .filter((F.col("rows") > chunk_rows) & F.col("peak").isNotNull())
         .select(key, F.ceil(F.col("rows") / F.lit(chunk_rows)).cast("int").alias(name))
     )
 
 
 def chunk_of(item: Column, parts: Column) -> Column:
-    return F.pmod(F.xxhash64(item), parts).cast("int")
+    # Never null, and declared so: otherwise the join infers a null test on the
+    # chunk, which moves down to the source and parts the branches again.
+    return F.coalesce(F.pmod(F.xxhash64(item), parts).cast("int"), F.lit(0))
 
 
-def mark_by_key(table: DataFrame, key: str, item: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def mark_by_key(table: DataFrame, key: str, item: str, value: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Adds ``parts`` and ``chunk``; only oversized keys have more than one part."""
     # No hint here: adaptive execution measures the list of large keys and
     # broadcasts it only when it is small.
-    sized = table.join(parts_per_key(table, key, chunk_rows), key, "left")
+    sized = table.join(parts_per_key(table, key, chunk_rows, value), key, "left")
     parts = F.coalesce(F.col("parts"), F.lit(1))
     return sized.withColumn("parts", parts).withColumn("chunk", chunk_of(F.col(item), F.col("parts")))
 
@@ -82,12 +89,12 @@ def unordered_pairs(marked: DataFrame, keys: list[str], item: str, value: str |
 
 
 def chunked_join(
-    left: DataFrame, right: DataFrame, key: str, left_item: str, right_item: str,
+    left: DataFrame, right: DataFrame, key: str, items: tuple[str, str], values: tuple[str, str],
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Equi-join on ``key`` with both sides of oversized keys cut into chunks."""
-    sizes = parts_per_key(left, key, chunk_rows, "lp").join(
-        parts_per_key(right, key, chunk_rows, "rp"), key, "full"
+    sizes = parts_per_key(left, key, chunk_rows, values[0], "lp").join(
+        parts_per_key(right, key, chunk_rows, values[1], "rp"), key, "full"
     )
     lp = F.coalesce(F.col("lp"), F.lit(1))
     rp = F.coalesce(F.col("rp"), F.lit(1))
@@ -101,6 +108,6 @@ def chunked_join(
         )
 
     on = [key, "lc", "rc"]
-    a = cells(left, left_item, lp, rp, "lc", "rc").repartition(*on)
-    b = cells(right, right_item, rp, lp, "rc", "lc").repartition(*on)
+    a = cells(left, items[0], lp, rp, "lc", "rc").repartition(*on)
+    b = cells(right, items[1], rp, lp, "rc", "lc").repartition(*on)
     return a.join(b, on).drop("lc", "rc")

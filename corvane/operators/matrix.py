@@ -39,7 +39,7 @@ def matmul_coo(a: DataFrame, b: DataFrame, chunk_rows: int = chunks.CHUNK_ROWS)
     """
     left = a.select(F.col("j").alias("k"), "i", F.col("v").alias("av"))
     right = b.select(F.col("i").alias("k"), "j", F.col("v").alias("bv"))
-    met = chunks.chunked_join(left, right, "k", "i", "j", chunk_rows)
+    met = chunks.chunked_join(left, right, "k", ("i", "j"), ("av", "bv"), chunk_rows)
     return met.groupBy("i", "j").agg(F.sum(F.col("av") * F.col("bv")).alias("v"))
 
 

@@ -32,7 +32,7 @@ def encode_vectors(counts: DataFrame, key: str, feature: str, segment_features:
     A key with more than ``segment_features`` features is written as several
     rows, so the vector of a very common key is never built in one task.
     """
-    sizes = chunks.parts_per_key(counts, key, segment_features)
+    sizes = chunks.parts_per_key(counts, key, segment_features, "cnt")
     # Fixed by the text of the feature alone: every engine cuts alike.
     digest = F.conv(F.substring(F.md5(F.col(feature).cast("binary")), 1, 8), 16, 10).cast("bigint")
     parts = F.coalesce(F.col("parts"), F.lit(1)).cast("bigint")
@@ -55,7 +55,7 @@ def decode_vectors(vectors: DataFrame, key: str, feature: str) -> DataFrame:
 
 def tag_pair_products(counts: DataFrame, chunk_rows: int = chunks.CHUNK_ROWS) -> DataFrame:
     """``(word, a, b, product)`` for the tags of each word, ``a < b``."""
-    marked = chunks.mark_by_key(counts, "word", "tag", chunk_rows)
+    marked = chunks.mark_by_key(counts, "word", "tag", "cnt", chunk_rows)
     pairs = chunks.unordered_pairs(marked, ["word"], "tag", "cnt")
     return pairs.select("word", "a", "b", (F.col("va") * F.col("vb")).alias("product"))
 
@@ -79,7 +79,9 @@ def tag_pairs_all(counts: DataFrame, chunk_rows: int = chunks.CHUNK_ROWS) -> Dat
     Tags are cut into chunks and chunk pairs joined on equality, so the rows
     are produced by many even tasks and no side is broadcast.
     """
-    tags = counts.select("tag").distinct()
+    # The maximum keeps the columns of the other uses of ``counts``: one shuffle
+    # serves all of them.
+    tags = counts.groupBy("tag").agg(F.max("cnt").alias("peak")).filter(F.col("peak").isNotNull()).select("tag")
     return chunks.unordered_pairs(chunks.mark_as_one(tags, "tag", chunk_rows), [], "tag")
 
 

@@ -101,7 +101,7 @@ def test_similarity_with_a_hub_word_equals_brute_force(skewed, rows, chunk_rows)
 
 def test_hub_word_spreads_over_chunk_pairs(skewed):
     _, counts = skewed
-    marked = chunks.mark_by_key(counts, "word", "tag", 7)
+    marked = chunks.mark_by_key(counts, "word", "tag", "cnt", 7)
     parts = {r["word"]: r["parts"] for r in marked.select("word", "parts").distinct().collect()}
     assert parts["hub"] == 9
     assert all(p <= 9 for p in parts.values())
