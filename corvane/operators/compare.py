@@ -16,7 +16,14 @@ def max_abs_diff(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def frame_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``(side, *columns)``: rows, with multiplicity, that only one table has."""
-    left = a.exceptAll(b).select(F.lit("left").alias("side"), "*")
-    right = b.exceptAll(a).select(F.lit("right").alias("side"), "*")
-    return left.unionByName(right)
+    """``(side, *columns, copies)``: the rows one table has more often, and how much more.
+
+    Both tables meet in one aggregation, combined per task before the shuffle,
+    so a row repeated many times costs no more than any other.
+    """
+    signed = a.withColumn("weight", F.lit(1).cast("bigint")).unionByName(
+        b.withColumn("weight", F.lit(-1).cast("bigint"))
+    )
+    gaps = signed.groupBy(*a.columns).agg(F.sum("weight").alias("gap")).filter(F.col("gap") != 0)
+    side = F.when(F.col("gap") > 0, F.lit("left")).otherwise(F.lit("right"))
+    return gaps.select(side.alias("side"), *a.columns, F.abs("gap").alias("copies"))

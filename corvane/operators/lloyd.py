@@ -147,29 +147,33 @@ def step_arrays(points: DataFrame, centres: np.ndarray, previous: np.ndarray | N
 
 
 def lloyd(points: DataFrame, k: int, threshold: float = 0.001, max_steps: int = 501,
-          seeds: np.ndarray | None = None, slice_bytes: int = SLICE_BYTES) -> Clustering:
+          seeds: np.ndarray | None = None, slice_bytes: int = SLICE_BYTES,
+          cache: bool = True) -> Clustering:
     """Repeats steps until at most ``threshold`` of the points changed cluster.
 
     Centres and one count per step come to the driver; points stay cached where
-    they are. The membership returned is the one the last means were taken over.
+    they are, or are scanned again each step with ``cache=False``. The membership returned is the one the last means were taken over.
     """
     spark = points.sparkSession
     centres = seed_centers(points, k) if seeds is None else np.array(seeds, dtype=np.float64)
     if len(centres) < 2:
         raise ValueError("k must be greater than 1")
-    cached = points.select("id", "x").persist()
+    table = points.select("id", "x")
+    if cache:
+        table = table.persist()
     used, previous, trace = centres, None, []
     try:
         for step in range(1, max_steps + 1):
             used = centres
-            centres, changed, n = step_arrays(cached, used, previous, slice_bytes)
+            centres, changed, n = step_arrays(table, used, previous, slice_bytes)
             previous = used
             delta = changed / n
             trace.append((step, changed, delta))
             if delta <= threshold:
                 break
     finally:
-        cached.unpersist()
+        if cache:
+            table.unpersist()
     membership = assign_clusters(points.select("id", "x"), used, slice_bytes=slice_bytes)
     return Clustering(
         centres=centre_rows(spark, centres),

@@ -68,7 +68,10 @@ def tag_similarity(counts: DataFrame, chunk_rows: int = chunks.CHUNK_ROWS) -> Da
 
 def tag_similarity_to(counts: DataFrame, tag: str) -> DataFrame:
     """``(tag, similarity)`` of every tag with one tag, that tag included."""
-    one = counts.filter(F.col("tag") == tag).select("word", F.col("cnt").alias("one_cnt"))
+    # A conditional sum instead of a filter on the tag: a filter would move below
+    # the counting and read the text a second time.
+    own = F.sum(F.when(F.col("tag") == tag, F.col("cnt")))
+    one = counts.groupBy("word").agg(own.alias("one_cnt")).filter(F.col("one_cnt").isNotNull())
     met = counts.join(one, "word")
     return met.groupBy("tag").agg(F.sum(F.col("cnt") * F.col("one_cnt")).alias("similarity"))
 

@@ -92,7 +92,8 @@ def max_abs_diff(spark, folder):
     "frame_diff",
     f"WITH {POINTS_SQL}, {lloyd_sql(2, K)}, gone AS (SELECT id, cid FROM a1 EXCEPT ALL SELECT id, cid FROM a2), "
     "came AS (SELECT id, cid FROM a2 EXCEPT ALL SELECT id, cid FROM a1) "
-    "SELECT 'left' AS side, id, cid FROM gone UNION ALL SELECT 'right', id, cid FROM came",
+    "SELECT 'left' AS side, id, cid, count(*) AS copies FROM gone GROUP BY id, cid UNION ALL "
+    "SELECT 'right', id, cid, count(*) FROM came GROUP BY id, cid",
 )
 def frame_diff(spark, folder):
     """Memberships before and after one Lloyd step."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corvane.functions import labels
+from corvane.operators import custom
 from corvane.plans.registry import load, plan
 from corvane.plans.text_plans import LINES_SQL, POSTS_SQL, doc_lines, post_counts
 from corvane.plans.vector_plans import points, round6, rounded
@@ -115,3 +116,23 @@ def hidden_filter(spark, folder):
 def prefix_paths(spark, folder):
     name = F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(".jpg"))
     return load(spark, folder, "pages").select("page_id", text_io.prefixed(BUCKET, name).alias("url"))
+
+
+@plan(
+    "custom_map_reduce",
+    "SELECT source, count(*) AS texts, CAST(sum(length(text)) AS BIGINT) AS chars, "
+    "CAST(max(length(text)) AS BIGINT) AS longest FROM documents GROUP BY source",
+)
+def custom_map_reduce(spark, folder):
+    """A pandas mapper and an associative combiner: text sizes per source."""
+
+    def sizes(batch):
+        chars = batch["text"].str.len()
+        return batch[["source"]].assign(texts=1, chars=chars, longest=chars)
+
+    def combine(rows):
+        return rows.groupby("source", as_index=False).agg({"texts": "sum", "chars": "sum", "longest": "max"})
+
+    docs = load(spark, folder, "documents").select("source", "text")
+    mapped = custom.map_rows(docs, sizes, "source string, texts bigint, chars bigint, longest bigint")
+    return custom.reduce_rows(mapped, ["source"], combine)

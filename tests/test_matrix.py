@@ -81,7 +81,7 @@ def test_max_abs_diff_keeps_small_gaps(spark):
 
 
 def test_frame_diff_counts_copies(spark, rows):
-    a = spark.createDataFrame([(1,), (1,), (2,)], "v int")
-    b = spark.createDataFrame([(1,), (3,)], "v int")
-    assert rows(compare.frame_diff(a, b)) == [("left", 1), ("left", 2), ("right", 3)]
+    a = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,)], "v int")
+    b = spark.createDataFrame([(1,), (3,), (None,)], "v int")
+    assert rows(compare.frame_diff(a, b)) == [("left", 1, 2), ("left", 2, 1), ("right", 3, 1)]
     assert compare.frame_diff(a, a).count() == 0
