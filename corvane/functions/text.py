@@ -15,9 +15,7 @@ LEADING_PUNCT = r"(^|\s+)[<>,./?!$%^&*()_+-=]"
 NON_ASCII = r"[^\x00-\x80]+"
 # A match takes its separators with it: in a run every second number stays.
 DIGIT_TOKENS = r"(^|\s+)\d+(\s+|$)"
-# Same outcome as replacing r"\s+" by a blank, without a match for every single
-# blank: longer runs, or one separator that is no blank.
-UNEVEN_SPACES = r"\s{2,}|[\t\n\x0B\f\r]"
+SPACES = r"\s+"
 
 LINE_END = r"\r\n|[\r\n]"
 # Everything up to and including the blank counts as trimmable.
@@ -66,7 +64,7 @@ def drop_digit_tokens(text: Column) -> Column:
 
 
 def squeeze(text: Column) -> Column:
-    return F.btrim(F.regexp_replace(text, UNEVEN_SPACES, " "), F.lit(TRIMMED))
+    return F.btrim(F.regexp_replace(text, SPACES, " "), F.lit(TRIMMED))
 
 
 def normalize(text: Column, colons: bool = True) -> Column:

@@ -11,7 +11,7 @@ from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions import labels, vectors
@@ -20,9 +20,13 @@ from corvane.operators.nearest import batch_matrix
 HIDDEN = (120, 84)
 
 
+def _features(vector: str) -> Column:
+    return array_to_vector(vectors.doubles(F.col(vector)))
+
+
 def channel_stats(points: DataFrame, vector: str = "x") -> DataFrame:
     """``(pos, mean, std)`` per coordinate; the deviation divides by n - 1."""
-    summary = points.select(array_to_vector(vector).alias("v")).agg(
+    summary = points.select(_features(vector).alias("v")).agg(
         Summarizer.metrics("mean", "std").summary(F.col("v")).alias("s")
     )
     both = summary.select(
@@ -36,19 +40,19 @@ def channel_stats(points: DataFrame, vector: str = "x") -> DataFrame:
 def fit_scaler(train: DataFrame, vector: str = "x"):
     """Per-coordinate (x - mean) / std, learnt on ``train``."""
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    return scaler.fit(train.select(array_to_vector(vector).alias("features")))
+    return scaler.fit(train.select(_features(vector).alias("features")))
 
 
 def standardize(points: DataFrame, scaler, vector: str = "x") -> DataFrame:
     """Replaces ``vector`` by its standardised form."""
-    scaled = scaler.transform(points.withColumn("features", array_to_vector(vector)))
+    scaled = scaler.transform(points.withColumn("features", _features(vector)))
     return scaled.withColumn(vector, vector_to_array("scaled")).drop("features", "scaled")
 
 
 def train_classifier(train: DataFrame, classes: int, max_iter: int = 50, seed: int = 17,
                      vector: str = "x") -> PipelineModel:
     """Scaler and a dense d-120-84-classes network over ``(x, label)``, labels from 0."""
-    table = train.select(array_to_vector(vector).alias("features"), F.col("label").cast("double"))
+    table = train.select(_features(vector).alias("features"), F.col("label").cast("double"))
     width = len(train.select(vector).head()[0])
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
     network = MultilayerPerceptronClassifier(
@@ -59,7 +63,7 @@ def train_classifier(train: DataFrame, classes: int, max_iter: int = 50, seed: i
 
 def score_batch(model: PipelineModel, points: DataFrame, names: list[str], vector: str = "x") -> DataFrame:
     """``(id, cls, confidence, name)`` per row; ``cls`` counts from 1."""
-    scored = model.transform(points.withColumn("features", array_to_vector(vector)))
+    scored = model.transform(points.withColumn("features", _features(vector)))
     best = vectors.top_class(vector_to_array("probability"))
     ranked = scored.select("id", best.alias("best"))
     cls = F.col("best.cls") + 1
@@ -86,7 +90,7 @@ def embed_penultimate(model: PipelineModel, points: DataFrame, vector: str = "x"
     """``(id, embedding)``: activations of the last hidden layer."""
     scaler, network = model.stages
     layers = layer_weights(network)[:-1]
-    scaled = scaler.transform(points.select("id", array_to_vector(vector).alias("features")))
+    scaled = scaler.transform(points.select("id", _features(vector).alias("features")))
     table = scaled.select("id", vector_to_array("scaled").alias("x"))
     id_type = table.schema["id"].dataType.simpleString()
 

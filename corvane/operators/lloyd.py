@@ -29,10 +29,8 @@ class Clustering:
 
 
 def as_points(df: DataFrame, id_column: str, vector: str) -> DataFrame:
-    """``(id, x)`` with double coordinates; rows without a vector are no points."""
-    return df.select(
-        F.col(id_column).alias("id"), F.col(vector).cast("array<double>").alias("x")
-    ).filter(F.col("x").isNotNull())
+    """``(id, x)``, the vector as stored; rows without a vector are no points."""
+    return df.select(F.col(id_column).alias("id"), F.col(vector).alias("x")).filter(F.col("x").isNotNull())
 
 
 def seed_rows(points: DataFrame, k: int) -> DataFrame:
@@ -41,7 +39,7 @@ def seed_rows(points: DataFrame, k: int) -> DataFrame:
     # k rows: numbering them is a window over the seeds alone.
     ranked = first.agg(F.array_sort(F.collect_list(F.struct("id", "x"))).alias("rows"))
     return ranked.select(F.posexplode("rows").alias("cid", "row")).select(
-        "cid", F.col("row.id").alias("id"), F.col("row.x").alias("m")
+        "cid", F.col("row.id").alias("id"), F.col("row.x").cast("array<double>").alias("m")
     )
 
 
@@ -80,10 +78,10 @@ def cluster_totals(points: DataFrame, centres: np.ndarray, previous: np.ndarray
         partials = points.select("x").mapInArrow(_partial_sums(sent), PARTIAL_SCHEMA)
         rows = partials.select("cid", "n", "changed", F.posexplode("sums").alias("pos", "v"))
     else:
-        assigned = assign_clusters(points.select("x"), centres, slice_bytes=slice_bytes)
+        assigned = assign_clusters(points.select("x"), centres, keep_vector=True, slice_bytes=slice_bytes)
         moved = F.lit(1)
         if previous is not None:
-            assigned = assign_clusters(assigned, previous, name="old", slice_bytes=slice_bytes)
+            assigned = assign_clusters(assigned, previous, name="old", keep_vector=True, slice_bytes=slice_bytes)
             moved = (F.col("cid") != F.col("old")).cast("int")
         rows = assigned.select(
             "cid", F.lit(1).alias("n"), moved.alias("changed"), F.posexplode("x").alias("pos", "v")

@@ -24,7 +24,7 @@ DENSE_SHARE = 0.1
 def cells(points: DataFrame, row: str = "id", vector: str = "x") -> DataFrame:
     """A vector table as coordinates: one row per vector and position."""
     return points.select(F.col(row).alias("i"), F.posexplode(vector).alias("j", "v")).select(
-        "i", F.col("j").cast("bigint").alias("j"), "v"
+        "i", F.col("j").cast("bigint").alias("j"), F.col("v").cast("double").alias("v")
     )
 
 

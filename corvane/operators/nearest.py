@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvane.functions import vectors
 
@@ -67,44 +68,53 @@ def centre_slices(centres: np.ndarray, slice_bytes: int = SLICE_BYTES) -> list[t
 
 def assign_clusters(
     points: DataFrame, centres: np.ndarray, vector: str = "x", name: str = "cid",
-    slice_bytes: int = SLICE_BYTES,
+    keep_vector: bool = False, slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Adds ``cid`` and ``d2`` of the nearest centre. No shuffle, no k-fold row growth.
 
+    Vectors may be float or double arrays; distances are double. The vector goes
+    to the Python worker once and comes back only with ``keep_vector``.
+
     Centres are k x d numbers set by the caller, not by the data. They are
     broadcast up to ``slice_bytes``; a larger table goes out slice by slice,
     each pass keeping the better of its own and the earlier best.
     """
     dist = f"{name}_d2" if name != "cid" else "d2"
-    out = points.withColumn(name, F.lit(-1)).withColumn(dist, F.lit(float("inf")))
-    schema = out.schema
-    for first, part in centre_slices(np.ascontiguousarray(centres, dtype=np.float64), slice_bytes):
+    found = [T.StructField(name, T.IntegerType()), T.StructField(dist, T.DoubleType())]
+    slices = centre_slices(np.ascontiguousarray(centres, dtype=np.float64), slice_bytes)
+    out = points
+    for first, part in slices:
+        needed = keep_vector or first != slices[-1][0]
+        carried = [c for c in points.columns if needed or c != vector]
+        schema = T.StructType([points.schema[c] for c in carried] + found)
         sent = points.sparkSession.sparkContext.broadcast(part)
-        out = out.mapInArrow(_better_of(sent, first, vector, name, dist), schema)
+        out = out.mapInArrow(_better_of(sent, first, vector, name, dist, carried), schema)
     return out
 
 
-def _better_of(sent, first: int, vector: str, name: str, dist: str):
+def _better_of(sent, first: int, vector: str, name: str, dist: str, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            names = batch.schema.names
-            best = batch.column(names.index(name)).to_numpy(zero_copy_only=False)
-            best_d2 = batch.column(names.index(dist)).to_numpy(zero_copy_only=False)
-            cid, d2 = nearest(batch_matrix(batch.column(names.index(vector))), sent.value)
-            # An earlier slice has the lower indices, so it keeps a tie.
-            take = (d2 < best_d2) | (best < 0)
-            columns = list(batch.columns)
-            columns[names.index(name)] = pa.array(np.where(take, cid + first, best), pa.int32())
-            columns[names.index(dist)] = pa.array(np.where(take, d2, best_d2), pa.float64())
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            column = dict(zip(batch.schema.names, batch.columns))
+            cid, d2 = nearest(batch_matrix(column[vector]), sent.value)
+            cid = cid + np.int32(first)
+            if first:
+                # Earlier slices have the lower indices, so they keep a tie.
+                best = column[name].to_numpy(zero_copy_only=False)
+                best_d2 = column[dist].to_numpy(zero_copy_only=False)
+                better = d2 < best_d2
+                cid, d2 = np.where(better, cid, best), np.where(better, d2, best_d2)
+            columns = [column[c] for c in carried]
+            columns += [pa.array(cid, pa.int32()), pa.array(d2, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*carried, name, dist])
 
     return run
 
 
 def assign_by_expression(points: DataFrame, centres: np.ndarray, vector: str = "x") -> DataFrame:
     """The same as one column expression inside the JVM, for small k x d."""
-    best = vectors.nearest_center(F.col(vector), vectors.vector_table_literal(centres))
-    out = points.withColumn("best", best)
+    table = vectors.vector_table_literal(centres)
+    out = points.withColumn("best", vectors.nearest_center(vectors.doubles(F.col(vector)), table))
     return out.select(*points.columns, F.col("best.cid").alias("cid"), F.col("best.d2").alias("d2"))

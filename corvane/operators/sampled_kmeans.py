@@ -8,6 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.functions import vectors
 from corvane.operators.lloyd import centre_rows, cluster_totals
 from corvane.session import scratch_path
 
@@ -20,7 +21,7 @@ def kmeans_ml(points: DataFrame, k: int, max_iter: int, seed: int = 17):
 
 
 def as_features(points: DataFrame) -> DataFrame:
-    return points.withColumn("features", array_to_vector("x"))
+    return points.withColumn("features", array_to_vector(vectors.doubles(F.col("x"))))
 
 
 def ml_centres(points: DataFrame, model) -> DataFrame:

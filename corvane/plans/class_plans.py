@@ -9,11 +9,11 @@ from corvane.functions import labels
 from corvane.operators import classify, lloyd, ranking
 from corvane.operators.nearest import assign_clusters
 from corvane.plans.registry import load, plan
-from corvane.plans.vector_plans import K, NEAREST_SQL, POINTS_SQL, labelled, points, round6, rounded, seeds
+from corvane.plans.vector_plans import K, NEAREST_SQL, POINTS_SQL, double_points, labelled, points, round6, rounded, seeds
 from corvane.session import scratch_path
 from corvane.sources import models
 
-FOLDER = "oxbuild/classification/"
+FOLDER = "images/classification/"
 TRAIN_ITERATIONS = 15
 
 _NAMES = ", ".join(f"'{n}'" for n in labels.BUILDING_CLASSES)
@@ -90,7 +90,7 @@ def label_counts(spark, folder):
 )
 def row_slice(spark, folder):
     """One coordinate of the second quarter of all rows, both ends included."""
-    table = points(spark, folder)
+    table = double_points(spark, folder)
     first = table.agg(F.expr("(max(id) + 1) div 4")).scalar()
     last = table.agg(F.expr("(max(id) + 1) div 2")).scalar()
     rows = table.filter((F.col("id") >= first) & (F.col("id") <= last))

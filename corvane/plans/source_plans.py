@@ -8,7 +8,7 @@ from corvane.functions import labels
 from corvane.operators import custom
 from corvane.plans.registry import load, plan
 from corvane.plans.text_plans import LINES_SQL, POSTS_SQL, doc_lines, post_counts
-from corvane.plans.vector_plans import points, round6, rounded
+from corvane.plans.vector_plans import double_points, points, round6, rounded
 from corvane.session import scratch_path
 from corvane.sources import binary_points, files, text_io
 
@@ -46,14 +46,14 @@ def union_inputs(spark, folder):
 @plan("parse_csv_vectors", FLAT_SQL)
 def parse_csv_vectors(spark, folder):
     """Vectors written as comma-separated text and parsed again."""
-    lines = points(spark, folder).select("id", F.concat_ws(",", F.col("x").cast("array<string>")).alias("line"))
+    lines = double_points(spark, folder).select("id", F.concat_ws(",", F.col("x").cast("array<string>")).alias("line"))
     return _flat(lines.select("id", text_io.csv_vector(F.col("line")).alias("x")))
 
 
 @plan("parse_tsv_vectors", FLAT_SQL)
 def parse_tsv_vectors(spark, folder):
     shown = F.concat(F.lit("["), F.concat_ws(", ", F.col("x").cast("array<string>")), F.lit("]"))
-    lines = points(spark, folder).select(
+    lines = double_points(spark, folder).select(
         F.concat_ws("\t", F.col("id").cast("string"), F.lit("url"), shown).alias("line")
     )
     parsed = lines.select(
@@ -69,7 +69,7 @@ def parse_ascii_points(spark, folder):
     path = scratch_path(spark, "points")
     coords = F.col("x").cast("array<string>")
     line = F.concat(F.col("id").cast("string"), F.lit("\t"), F.concat_ws(", ", coords), F.lit("\n"))
-    points(spark, folder).select(line.alias("value")).write.text(path)
+    double_points(spark, folder).select(line.alias("value")).write.text(path)
     parsed = text_io.read_points(spark, path)
     return _flat(parsed.withColumn("id", F.col("id").cast("bigint")))
 

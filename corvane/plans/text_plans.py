@@ -271,16 +271,15 @@ def tag_word_vectors(spark, folder):
     "FROM per_line GROUP BY doc_id, line_no",
 )
 def encode_vector(spark, folder):
-    """The word counts of each line as vector text, from arrays alone."""
+    """The word counts of each line as vector text."""
     tokens = ngrams.token_table(doc_lines(spark, folder))
-    entries = F.transform(
-        F.array_distinct("tokens"),
-        lambda w: F.struct(
-            w.alias("feature"),
-            F.size(F.filter("tokens", lambda t: t == w)).cast("bigint").alias("cnt"),
-        ),
+    words = ngrams.token_rows(tokens, ["doc_id", "line_no"])
+    counted = words.groupBy("doc_id", "line_no", F.col("token").alias("feature")).agg(
+        F.count(F.lit(1)).alias("cnt")
     )
-    return tokens.select("doc_id", "line_no", encoding.encode_entries(entries).alias("vector"))
+    # One line bounds what is gathered here.
+    entries = F.collect_list(F.struct("feature", "cnt"))
+    return counted.groupBy("doc_id", "line_no").agg(encoding.encode_entries(entries).alias("vector"))
 
 
 @plan("decode_vector", f"WITH {POSTS_SQL} SELECT word, tag, cnt FROM counts")

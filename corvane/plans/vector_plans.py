@@ -77,9 +77,14 @@ NEAREST_SQL = f"WITH {POINTS_SQL}, {seeds_sql(K)}, {assign_sql('a1', 'c0')}"
 # ------------------------------------------------------------ shared sources
 
 def points(spark: SparkSession, folder: str) -> DataFrame:
+    """``(id, x)`` as stored: float vectors, half the size of double ones."""
     return lloyd.as_points(load(spark, folder, "embeddings"), "vec_id", "embedding")
 
 
+def double_points(spark: SparkSession, folder: str) -> DataFrame:
+    return points(spark, folder).withColumn("x", vectors.doubles(F.col("x")))
+
+
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
     table = load(spark, folder, "embeddings")
     return table.select(
@@ -101,7 +106,7 @@ def sq_distance(spark, folder):
     """Every point against all seeds, from one literal seed table."""
     table = vectors.vector_table_literal(seeds(spark, folder))
     each = F.posexplode(F.transform(table, lambda m: vectors.sq_distance(F.col("x"), m)))
-    rows = points(spark, folder).select("id", each.alias("cid", "d2"))
+    rows = double_points(spark, folder).select("id", each.alias("cid", "d2"))
     return rows.select("id", "cid", round6(F.col("d2")).alias("d2"))
 
 
@@ -113,7 +118,7 @@ def sq_distance(spark, folder):
 def euclid_distance(spark, folder):
     table = vectors.vector_table_literal(seeds(spark, folder))
     each = F.posexplode(F.transform(table, lambda m: vectors.distance(F.col("x"), m)))
-    rows = points(spark, folder).select("id", each.alias("cid", "d"))
+    rows = double_points(spark, folder).select("id", each.alias("cid", "d"))
     return rows.select("id", "cid", round6(F.col("d")).alias("d"))
 
 
@@ -153,7 +158,7 @@ def seed_scores(spark: SparkSession, folder: str) -> DataFrame:
     table = vectors.vector_table_literal(seeds(spark, folder))
     scores = F.transform(table, lambda m: -vectors.sq_distance(F.col("x"), m))
     # Two projections, so that the distances are worked out once per point.
-    return points(spark, folder).select("id", scores.alias("s")).select(
+    return double_points(spark, folder).select("id", scores.alias("s")).select(
         "id", vectors.softmax(F.col("s")).alias("p")
     )
 

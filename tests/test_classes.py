@@ -14,7 +14,7 @@ def one(spark, column):
 
 
 def test_prefix_labels(spark):
-    names = ["oxbuild/classification/all_souls_1.jpg", "ashmolean.jpg", "x/ch_1", "hertford", "ra", "distractor"]
+    names = ["images/classification/all_souls_1.jpg", "ashmolean.jpg", "x/ch_1", "hertford", "ra", "distractor"]
     got = [one(spark, labels.label_from_prefix(F.lit(n))) for n in names]
     assert got == [1, 2, 3, 4, 5, None]
 
