@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_ROWS = 4096
+# A chunk pair costs at most this many rows squared.
+CHUNK_ROWS = 1024
 
 
 def parts_per_key(table: DataFrame, key: str, chunk_rows: int, value: str, name: str = "parts") -> DataFrame:

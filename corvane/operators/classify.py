@@ -109,7 +109,8 @@ def embed_penultimate(model: PipelineModel, points: DataFrame, vector: str = "x"
 
 def label_by_seed(assigned: DataFrame, seeds: DataFrame) -> DataFrame:
     """Adds ``pred``: the label of the nearest seed; ``seeds`` is ``(cid, pred)``, k rows."""
-    return assigned.join(seeds, "cid")
+    # One row per centre: its number is a parameter of the assignment.
+    return assigned.join(F.broadcast(seeds), "cid")
 
 
 def accuracy(judged: DataFrame) -> DataFrame:

@@ -158,8 +158,9 @@ def judged(spark: SparkSession, folder: str) -> DataFrame:
     table = labelled(spark, folder)
     assigned = assign_clusters(table, seeds(spark, folder)).select("id", "label", "cid")
     own = lloyd.seed_rows(points(spark, folder), K).select("cid", "id")
-    # K rows on the seed side.
-    seed_labels = own.join(table.select("id", F.col("label").alias("pred")), "id").select("cid", "pred")
+    # Limited to K rows, so broadcast to the table.
+    truth = table.select("id", F.col("label").alias("pred"))
+    seed_labels = truth.join(F.broadcast(own), "id").select("cid", "pred")
     rows = classify.label_by_seed(assigned, seed_labels)
     return rows.select("id", (F.col("label") + 1).alias("label"), (F.col("pred") + 1).alias("pred"))
 

@@ -35,12 +35,12 @@ def shared_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = spark.conf.get(SCRATCH_KEY, None) or sc.getConf().get(SCRATCH_KEY)
     if named:
-        if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not sc.getCheckpointDir():
             sc.setCheckpointDir(named)
         return named
-    own = sc._jsc.sc().getCheckpointDir()
-    if own.isDefined():
-        return own.get()
+    own = sc.getCheckpointDir()
+    if own:
+        return own
     folder = tempfile.mkdtemp(prefix="corvane-")
     sc.setCheckpointDir(folder)
     return folder

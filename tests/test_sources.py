@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +99,18 @@ def test_scratch_paths_share_one_folder(spark):
     assert first.startswith(folder.rstrip("/")) and second.startswith(folder.rstrip("/"))
 
 
+def test_scratch_goes_to_the_folder_the_cluster_names(tmp_path):
+    code = (
+        "import sys; from corvane.session import build_session, scratch_path, frozen\n"
+        "s = build_session('t', 'local[1]', spark__ui__enabled='false', spark__checkpoint__dir=sys.argv[1])\n"
+        "assert scratch_path(s, 'x').startswith(sys.argv[1])\n"
+        "assert frozen(s.range(3)).count() == 3\n"
+    )
+    root = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", code, str(tmp_path)], check=True, cwd=root, timeout=120)
+    assert any(tmp_path.rglob("rdd-*"))
+
+
 def test_wrong_widths_are_refused(spark, tmp_path):
     table = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "id bigint, x array<double>").coalesce(1)
     with pytest.raises(Exception):
