@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.operators.nearest import (
-    SLICE_BYTES, assign_clusters, batch_matrix, centre_slices, nearest,
+    SLICE_BYTES, assign_clusters, batch_matrix, centre_slices, nearest, sent_to_tasks,
 )
 
+# Partial sums of all tasks that may go to the driver without a shuffle.
+DIRECT_BYTES = 16 << 20
 PARTIAL_SCHEMA = "cid int, n bigint, changed bigint, sums array<double>"
 
 
@@ -63,6 +65,16 @@ def centre_rows(spark: SparkSession, centres: np.ndarray) -> DataFrame:
     return spark.createDataFrame(table)
 
 
+def partial_totals(points: DataFrame, centres: np.ndarray, previous: np.ndarray | None,
+                   slice_bytes: int) -> DataFrame | None:
+    """``(cid, n, changed, sums)`` per task, or None when the centres need several slices."""
+    arrays = [np.ascontiguousarray(c, dtype=np.float64) for c in (centres, previous) if c is not None]
+    if any(len(centre_slices(c, slice_bytes)) > 1 for c in arrays):
+        return None
+    sent = sent_to_tasks(points.sparkSession, arrays, sum(c.nbytes for c in arrays))
+    return points.select("x").mapInArrow(_partial_sums(sent), PARTIAL_SCHEMA)
+
+
 def cluster_totals(points: DataFrame, centres: np.ndarray, previous: np.ndarray | None = None,
                    slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """``(cid, pos, n, changed, total)``: size, moved points and coordinate sums per cluster.
@@ -72,10 +84,8 @@ def cluster_totals(points: DataFrame, centres: np.ndarray, previous: np.ndarray
     the old centres, so no per-point state outlives a step and a lost executor
     costs only its own partitions. Sums are combined per task before the shuffle.
     """
-    arrays = [np.ascontiguousarray(c, dtype=np.float64) for c in (centres, previous) if c is not None]
-    if all(len(centre_slices(c, slice_bytes)) == 1 for c in arrays):
-        sent = points.sparkSession.sparkContext.broadcast(arrays)
-        partials = points.select("x").mapInArrow(_partial_sums(sent), PARTIAL_SCHEMA)
+    partials = partial_totals(points, centres, previous, slice_bytes)
+    if partials is not None:
         rows = partials.select("cid", "n", "changed", F.posexplode("sums").alias("pos", "v"))
     else:
         assigned = assign_clusters(points.select("x"), centres, keep_vector=True, slice_bytes=slice_bytes)
@@ -91,6 +101,31 @@ def cluster_totals(points: DataFrame, centres: np.ndarray, previous: np.ndarray
     )
 
 
+def total_arrays(points: DataFrame, centres: np.ndarray, previous: np.ndarray | None = None,
+                 slice_bytes: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``cluster_totals`` as arrays: (n, changed, sums).
+
+    Few tasks hand their k x d partial sums straight to the driver; when those
+    could exceed ``DIRECT_BYTES`` they are added up by a shuffle first.
+    """
+    n, changed, sums = np.zeros(len(centres), int), np.zeros(len(centres), int), np.zeros(centres.shape)
+    direct = points.rdd.getNumPartitions() * centres.nbytes <= DIRECT_BYTES
+    partials = partial_totals(points, centres, previous, slice_bytes) if direct else None
+    if partials is not None:
+        table = partials.toArrow().combine_chunks()
+        cid = table["cid"].to_numpy()
+        np.add.at(n, cid, table["n"].to_numpy())
+        np.add.at(changed, cid, table["changed"].to_numpy())
+        flat = table["sums"].combine_chunks().flatten().to_numpy()
+        np.add.at(sums, cid, flat.reshape(-1, centres.shape[1]))
+        return n, changed, sums
+    totals = cluster_totals(points, centres, previous, slice_bytes).toArrow().to_pandas()
+    sums[totals["cid"], totals["pos"]] = totals["total"]
+    first = totals[totals["pos"] == 0]
+    n[first["cid"]], changed[first["cid"]] = first["n"], first["changed"]
+    return n, changed, sums
+
+
 def _partial_sums(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, *previous = sent.value
@@ -137,11 +172,10 @@ def step_rows(points: DataFrame, centres: np.ndarray) -> DataFrame:
 def step_arrays(points: DataFrame, centres: np.ndarray, previous: np.ndarray | None,
                 slice_bytes: int = SLICE_BYTES) -> tuple[np.ndarray, int, int]:
     """One step on the driver's k x d numbers: (new centres, changed, points)."""
-    totals = cluster_totals(points, centres, previous, slice_bytes).toArrow().to_pandas()
+    n, changed, sums = total_arrays(points, centres, previous, slice_bytes)
     new = np.array(centres, dtype=np.float64)
-    new[totals["cid"], totals["pos"]] = totals["total"] / totals["n"]
-    first = totals[totals["pos"] == 0]
-    return new, int(first["changed"].sum()), int(first["n"].sum())
+    new[n > 0] = sums[n > 0] / n[n > 0, None]
+    return new, int(changed.sum()), int(n.sum())
 
 
 def lloyd(points: DataFrame, k: int, threshold: float = 0.001, max_steps: int = 501,

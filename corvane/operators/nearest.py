@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +15,8 @@ from corvane.functions import vectors
 
 # A centre table above this is sent in slices, one pass over the points each.
 SLICE_BYTES = 64 << 20
+# A smaller one travels with the function itself.
+INLINE_BYTES = 1 << 18
 # Cells of one distance matrix held by a task.
 BLOCK_CELLS = 1 << 22
 
@@ -61,6 +64,16 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return index, found
 
 
+@dataclass
+class Inline:
+    value: object
+
+
+def sent_to_tasks(spark: SparkSession, value: object, size: int):
+    """Something with ``value``: inside the task function, or a broadcast when larger."""
+    return Inline(value) if size <= INLINE_BYTES else spark.sparkContext.broadcast(value)
+
+
 def centre_slices(centres: np.ndarray, slice_bytes: int = SLICE_BYTES) -> list[tuple[int, np.ndarray]]:
     rows = max(1, slice_bytes // max(1, centres.shape[1] * 8))
     return [(at, centres[at : at + rows]) for at in range(0, len(centres), rows)]
@@ -87,7 +100,7 @@ def assign_clusters(
         needed = keep_vector or first != slices[-1][0]
         carried = [c for c in points.columns if needed or c != vector]
         schema = T.StructType([points.schema[c] for c in carried] + found)
-        sent = points.sparkSession.sparkContext.broadcast(part)
+        sent = sent_to_tasks(points.sparkSession, part, part.nbytes)
         out = out.mapInArrow(_better_of(sent, first, vector, name, dist, carried), schema)
     return out
 

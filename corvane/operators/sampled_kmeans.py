@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions import vectors
-from corvane.operators.lloyd import centre_rows, cluster_totals
+from corvane.operators.lloyd import centre_rows, total_arrays
 from corvane.session import scratch_path
 
 
@@ -60,14 +60,7 @@ def minibatch_kmeans(points: DataFrame, k: int, max_iter: int = 100, batch_rows:
     seen = np.zeros(k)
     for step in range(max_iter):
         batch = table.filter(F.col("batch") == step % min(n_batches, max_iter))
-        totals = cluster_totals(batch, centres).toArrow().to_pandas()
-        if not len(totals):
-            continue
-        n = np.zeros(k)
-        first_rows = totals[totals["pos"] == 0]
-        n[first_rows["cid"]] = first_rows["n"]
-        sums = np.zeros_like(centres)
-        sums[totals["cid"], totals["pos"]] = totals["total"]
+        n, _, sums = total_arrays(batch, centres)
         moved = n > 0
         seen += n
         # All single 1/seen steps of a batch add up to the running mean.

@@ -96,6 +96,24 @@ def test_lloyd_with_sliced_centres_is_the_same(spark):
     assert np.allclose(whole.centre_array, sliced.centre_array)
 
 
+def test_direct_and_shuffled_sums_agree(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    x = rng.integers(0, 9, (240, 3)).astype(float)
+    table = point_table(spark, x).repartition(6)
+    old, new = x[:5], x[5:10]
+    direct = lloyd.total_arrays(table, new, old)
+    monkeypatch.setattr(lloyd, "DIRECT_BYTES", 0)
+    shuffled = lloyd.total_arrays(table, new, old)
+    sliced = lloyd.total_arrays(table, new, old, slice_bytes=48)
+    now, before = brute_nearest(x, new), brute_nearest(x, old)
+    expected = (
+        np.bincount(now, minlength=5), np.bincount(now[now != before], minlength=5),
+        np.array([x[now == c].sum(axis=0) for c in range(5)]),
+    )
+    for found in (direct, shuffled, sliced):
+        assert all(np.array_equal(f, e) for f, e in zip(found, expected))
+
+
 def test_sizes_add_up(spark):
     table = point_table(spark, np.random.default_rng(7).random((300, 4)))
     seeds = lloyd.seed_centers(table, 5)
