@@ -45,43 +45,55 @@ def mark_by_key(table: DataFrame, key: str, item: str, value: str, chunk_rows: i
     return sized.withColumn("parts", parts).withColumn("chunk", chunk_of(F.col(item), F.col("parts")))
 
 
-def mark_as_one(table: DataFrame, item: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """The whole table as a single group, cut by its total size."""
+def mark_as_one(table: DataFrame, item: str, value: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """The whole table as a single group, cut by its total size.
+
+    ``value`` is an aggregate of the table and never null. Reading it here keeps
+    later tests on the chunk above that aggregation.
+    """
     total = table.agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(chunk_rows)), F.lit(1)).cast("int")
     ).scalar()
-    sized = table.withColumn("parts", total)
+    sized = table.withColumn("parts", F.when(F.col(value).isNotNull(), total).otherwise(F.lit(1)))
     return sized.withColumn("chunk", chunk_of(F.col(item), F.col("parts")))
 
 
+def spread_pairs(rows: DataFrame, on: list[str]) -> DataFrame:
+    """Partitions by chunk pair. The number is given, because few input rows make
+    many output rows here and adaptive execution would merge partitions by input."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *on)
+
+
 def unordered_pairs(marked: DataFrame, keys: list[str], item: str, value: str | None = None) -> DataFrame:
     """All pairs of different items below each key, as ``a < b`` [with ``va``, ``vb``].
 
-    Chunk i meets chunk j once, for i <= j. Items are unique below a key.
+    Items are unique below a key. Pairs inside a chunk come from one shuffle that
+    both sides of the join read; chunk i meets chunk j > i once, and only large
+    keys have such rows.
     """
     values = [value] if value else []
-    left = marked.select(
-        *keys,
-        F.col(item).alias("a"),
-        *[F.col(v).alias("va") for v in values],
-        F.col("chunk").alias("lo"),
-        F.explode(F.sequence("chunk", F.col("parts") - 1)).alias("hi"),
-    )
-    right = marked.select(
-        *keys,
-        F.col(item).alias("b"),
-        *[F.col(v).alias("vb") for v in values],
-        F.explode(F.sequence(F.lit(0), "chunk")).alias("lo"),
-        F.col("chunk").alias("hi"),
-    )
-    on = [*keys, "lo", "hi"]
+
+    def side(rows: DataFrame, name: str, *at: Column | str) -> DataFrame:
+        return rows.select(*keys, *at, F.col(item).alias(name), *[F.col(v).alias(f"v{name}") for v in values])
+
+    home = marked.select(*keys, "chunk", item, *values).repartition(*keys, "chunk")
+    same = side(home, "a", "chunk").join(side(home, "b", "chunk"), [*keys, "chunk"]).filter(F.col("a") < F.col("b"))
+
     # Partition by the chunk pair, not by the key alone: this is what spreads a
-    # large key.
-    met = left.repartition(*on).join(right.repartition(*on), on)
-    met = met.filter((F.col("lo") < F.col("hi")) | (F.col("a") < F.col("b")))
-    swap = F.col("a") > F.col("b")
+    # large key. sequence() counts down when its end is below its start, hence
+    # the filters.
+    on = [*keys, "lo", "hi"]
+    above = F.explode(F.sequence(F.col("chunk") + 1, F.col("parts") - 1)).alias("hi")
+    below = F.explode(F.sequence(F.lit(0), F.col("chunk") - 1)).alias("lo")
+    large = marked.filter(F.col("parts") > 1)
+    low = side(large.filter(F.col("chunk") < F.col("parts") - 1), "a", F.col("chunk").alias("lo"), above)
+    high = side(large.filter(F.col("chunk") > 0), "b", below, F.col("chunk").alias("hi"))
+    cross = spread_pairs(low, on).join(spread_pairs(high, on), on)
+
+    met = same.drop("chunk").unionByName(cross.drop("lo", "hi"))
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     if value:
+        swap = F.col("a") > F.col("b")
         ordered += [
             F.when(swap, F.col("vb")).otherwise(F.col("va")).alias("va"),
             F.when(swap, F.col("va")).otherwise(F.col("vb")).alias("vb"),
@@ -109,6 +121,6 @@ def chunked_join(
         )
 
     on = [key, "lc", "rc"]
-    a = cells(left, items[0], lp, rp, "lc", "rc").repartition(*on)
-    b = cells(right, items[1], rp, lp, "rc", "lc").repartition(*on)
-    return a.join(b, on).drop("lc", "rc")
+    a = cells(left, items[0], lp, rp, "lc", "rc")
+    b = cells(right, items[1], rp, lp, "rc", "lc")
+    return spread_pairs(a, on).join(spread_pairs(b, on), on).drop("lc", "rc")

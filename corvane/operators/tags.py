@@ -84,8 +84,8 @@ def tag_pairs_all(counts: DataFrame, chunk_rows: int = chunks.CHUNK_ROWS) -> Dat
     """
     # The maximum keeps the columns of the other uses of ``counts``: one shuffle
     # serves all of them.
-    tags = counts.groupBy("tag").agg(F.max("cnt").alias("peak")).filter(F.col("peak").isNotNull()).select("tag")
-    return chunks.unordered_pairs(chunks.mark_as_one(tags, "tag", chunk_rows), [], "tag")
+    tags = counts.groupBy("tag").agg(F.max("cnt").alias("peak")).filter(F.col("peak").isNotNull())
+    return chunks.unordered_pairs(chunks.mark_as_one(tags, "tag", "peak", chunk_rows), [], "tag")
 
 
 def tag_similarity_all(counts: DataFrame, chunk_rows: int = chunks.CHUNK_ROWS) -> DataFrame:
