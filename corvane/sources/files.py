@@ -20,3 +20,10 @@ def file_inventory(spark: SparkSession, folder: str, pattern: str = ".*", recurs
 def total_size(inventory: DataFrame) -> DataFrame:
     """``(files, bytes)``: the sum of the file lengths."""
     return inventory.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def child_folders(inventory: DataFrame, folder: str) -> DataFrame:
+    """``(folder)``: direct subfolders that hold a file, from a recursive inventory."""
+    inner = F.substring_index("path", f"{folder.rstrip('/')}/", -1)
+    below = inventory.filter(F.contains("path", F.lit(f"{folder.rstrip('/')}/")) & F.contains(inner, F.lit("/")))
+    return below.select(F.substring_index(inner, "/", 1).alias("folder")).distinct()

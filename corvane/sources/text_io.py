@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 POINT_SEPARATORS = r"[ ,\t\n]+"
 
@@ -66,12 +67,16 @@ def write_membership(membership: DataFrame, path: str) -> None:
 
 
 def write_pairs(df: DataFrame, path: str) -> None:
-    """Tab-separated text of all columns; replaces what is there."""
-    df.write.mode("overwrite").option("sep", "\t").csv(path)
+    """Plain ``key<TAB>value`` lines of all columns, unquoted; replaces what is there."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    df.select(F.concat_ws("\t", *shown).alias("value")).write.mode("overwrite").text(path)
 
 
 def read_pairs(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.option("sep", "\t").schema(schema).csv(path)
+    """Tab-separated lines as the columns of a DDL ``schema``."""
+    fields = T.StructType.fromDDL(schema).fields
+    parts = spark.read.text(path).select(F.split("value", "\t", -1).alias("p"))
+    return parts.select(*[F.col("p")[at].cast(f.dataType).alias(f.name) for at, f in enumerate(fields)])
 
 
 def prefixed(prefix: str, name: Column) -> Column:

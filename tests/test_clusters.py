@@ -75,6 +75,26 @@ def test_empty_cluster_keeps_its_centre(spark):
     assert lloyd.lloyd(table, 2).steps == 3
 
 
+def test_lloyd_to_convergence_equals_a_plain_loop(spark):
+    x = np.random.default_rng(11).random((400, 3))
+    centres, old, deltas = x[:6].copy(), np.full(400, -1), []
+    while True:
+        now = brute_nearest(x, centres)
+        deltas.append((now != old).mean())
+        old = now
+        for c in range(6):
+            if (now == c).any():
+                centres[c] = x[now == c].mean(axis=0)
+        if deltas[-1] <= 0.001:
+            break
+    result = lloyd.lloyd(point_table(spark, x).repartition(5), 6)
+    assert membership(result) == now.tolist()
+    assert np.allclose(result.centre_array, centres)
+    assert np.allclose([r["delta"] for r in result.trace.orderBy("step").collect()], deltas)
+    again = lloyd.lloyd(point_table(spark, x), 6, cache=False)
+    assert membership(again) == now.tolist()
+
+
 def test_membership_is_the_one_before_the_last_means(spark):
     table = point_table(spark, [[0], [1], [10], [11]])
     one = lloyd.lloyd(table, 2, max_steps=1)
@@ -167,6 +187,13 @@ def test_minibatch_visits_bounded_batches(spark):
     assert cost < start
 
 
+def test_minibatch_does_not_depend_on_the_partitioning(spark):
+    table = point_table(spark, np.random.default_rng(12).random((200, 2)))
+    one = sampled_kmeans.minibatch_kmeans(table, 3, max_iter=4, batch_rows=50)
+    two = sampled_kmeans.minibatch_kmeans(table.repartition(5), 3, max_iter=4, batch_rows=50)
+    assert np.allclose(one, two)
+
+
 def test_assignment_neither_shuffles_nor_grows_rows(spark, plan_text):
     table = point_table(spark, np.random.default_rng(1).random((50, 3)))
     plan = plan_text(assign_clusters(table, np.zeros((4, 3))))

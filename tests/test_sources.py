@@ -42,8 +42,9 @@ def test_centre_and_membership_files(spark, tmp_path):
 def test_pair_sink_replaces(spark, tmp_path, rows):
     path = str(tmp_path / "out")
     text_io.write_pairs(spark.createDataFrame([("a", 1)], "k string, v int"), path)
-    text_io.write_pairs(spark.createDataFrame([("b", 2)], "k string, v int"), path)
-    assert rows(text_io.read_pairs(spark, path, "k string, v int")) == [("b", 2)]
+    text_io.write_pairs(spark.createDataFrame([('b "c"', 2), ("", 3)], "k string, v int"), path)
+    assert rows(text_io.read_pairs(spark, path, "k string, v int")) == [("", 3), ('b "c"', 2)]
+    assert sorted(r["value"] for r in spark.read.text(path).collect()) == ["\t3", 'b "c"\t2']
 
 
 def test_inventory(spark, tmp_path):
@@ -57,6 +58,7 @@ def test_inventory(spark, tmp_path):
     assert [tuple(r) for r in flat.select("name", "length").collect()] == [("a.bin", 3)]
     assert sorted(r["name"] for r in deep.collect()) == ["a.bin", "c.bin"]
     assert tuple(files.total_size(deep).first()) == (2, 5)
+    assert [r["folder"] for r in files.child_folders(deep, str(tmp_path)).collect()] == ["sub"]
     # The pattern has to match the whole path.
     assert files.file_inventory(spark, str(tmp_path), r"a\.bin").count() == 0
 
