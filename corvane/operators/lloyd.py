@@ -136,8 +136,8 @@ def _partial_sums(sent):
             if not batch.num_rows:
                 continue
             x = batch_matrix(batch.column(0))
-            cid, _ = nearest(x, centres)
-            moved = cid if not previous else cid[nearest(x, previous[0])[0] != cid]
+            cid, _ = nearest(x, centres, measure=False)
+            moved = cid if not previous else cid[nearest(x, previous[0], measure=False)[0] != cid]
             n += np.bincount(cid, minlength=len(n))
             changed += np.bincount(moved, minlength=len(n))
             order = np.argsort(cid, kind="stable")

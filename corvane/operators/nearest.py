@@ -17,8 +17,9 @@ from corvane.functions import vectors
 SLICE_BYTES = 64 << 20
 # A smaller one travels with the function itself.
 INLINE_BYTES = 1 << 18
-# Cells of one distance matrix held by a task.
-BLOCK_CELLS = 1 << 22
+# Cells of one distance matrix: small enough to stay in a core's cache.
+BLOCK_CELLS = 1 << 17
+MIN_BLOCK_ROWS = 64
 
 
 def batch_matrix(column: pa.Array) -> np.ndarray:
@@ -36,32 +37,37 @@ def exact_sq_distance(x: np.ndarray, m: np.ndarray) -> np.ndarray:
     return total
 
 
-def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def nearest(x: np.ndarray, centres: np.ndarray, measure: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
     """``(index, squared distance)`` per row; the lowest index wins a tie.
 
-    A matrix product finds every centre that rounding cannot rule out; only
-    those are measured exactly.
+    A matrix product ranks the centres up to rounding. Only rows whose second
+    best centre is that close are measured exactly against all such centres.
     """
     index = np.zeros(len(x), dtype=np.int32)
-    found = np.full(len(x), np.nan)
     norms = (centres * centres).sum(axis=1)
-    block = max(1, BLOCK_CELLS // max(1, len(centres)))
+    twice = np.ascontiguousarray(-2.0 * centres.T)
+    block = max(MIN_BLOCK_ROWS, BLOCK_CELLS // len(centres))
     slack = 16 * (x.shape[1] + 4) * np.finfo(np.float64).eps
     for at in range(0, len(x), block):
         part = x[at : at + block]
-        own = (part * part).sum(axis=1)
-        rough = own[:, None] - 2.0 * (part @ centres.T) + norms[None, :]
-        limit = rough.min(axis=1) + slack * (own + norms.max())
-        row, cid = np.nonzero(rough <= limit[:, None])
-        if not len(row):
-            continue
-        exact = exact_sq_distance(part[row], centres[cid])
-        order = np.lexsort((cid, exact, row))
-        rows, first = np.unique(row[order], return_index=True)
-        best = order[first]
-        index[at + rows] = cid[best]
-        found[at + rows] = exact[best]
-    return index, found
+        # |x|^2 is the same for all centres and left out.
+        rough = part @ twice
+        rough += norms
+        best = rough.argmin(axis=1)
+        rows = np.arange(len(part))
+        low = rough[rows, best]
+        limit = low + slack * (np.einsum("ij,ij->i", part, part) + norms.max())
+        rough[rows, best] = np.inf
+        close = np.flatnonzero(rough.min(axis=1) <= limit)
+        if len(close):
+            rough[close, best[close]] = low[close]
+            row, cid = np.nonzero(rough[close] <= limit[close, None])
+            exact = exact_sq_distance(part[close[row]], centres[cid])
+            order = np.lexsort((cid, exact, row))
+            first = np.unique(row[order], return_index=True)[1]
+            best[close] = cid[order[first]]
+        index[at : at + block] = best
+    return index, exact_sq_distance(x, centres[index]) if measure else None
 
 
 @dataclass

@@ -31,6 +31,13 @@ def test_nearest_kernel_equals_brute_force_with_ties():
     assert np.array_equal(d2, ((x - m[index]) ** 2).sum(axis=1))
 
 
+def test_nearest_kernel_with_one_centre_many_ties_and_no_numbers():
+    x = np.zeros((300, 2))
+    assert (nearest(x, np.array([[1.0, 1.0]]))[0] == 0).all()
+    assert (nearest(x, np.ones((500, 2)))[0] == 0).all()
+    assert (nearest(x + np.nan, np.ones((5, 2)))[0] == 0).all()
+
+
 def test_nearest_kernel_far_from_the_origin():
     """Rounding of the matrix product must not decide."""
     rng = np.random.default_rng(4)
