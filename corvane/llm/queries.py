@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corvane.llm import token_files
+from corvane.llm import mixing, quality_rules, simhash, token_files
 from corvane.llm.common import load
 from corvane.llm.encoder import tokenizer_path
 from corvane.session import scratch_path
@@ -14,6 +15,12 @@ from corvane.session import scratch_path
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(load(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Documents encoded, written with Elias-Fano boundaries and read back."""
     path = scratch_path(spark, "token-files")
@@ -21,9 +28,27 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base measures and the verdict of the line rule for every document."""
+    found = quality_rules.judged(quality_rules.measured(load(spark, folder, "documents")))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words",
+        "base_failed", "kept",
+    )
+
+
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that a mix of 150% of all words takes from every document."""
+    mixed = mixing.mix(load(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", mixing.taken().alias("taken"))
+
+
 def queries() -> dict[str, Builder]:
     return {
+        "op2_simhash": op2_simhash,
         "op4_token_files": op4_token_files,
+        "op7_quality_rules": op7_quality_rules,
+        "op9_mixing": op9_mixing,
     }
 
 
