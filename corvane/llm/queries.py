@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import mixing, quality_rules, simhash, token_files
+from corvane.llm import language_id, mixing, packing, quality_ranking, quality_rules, simhash, token_files
 from corvane.llm.common import load
 from corvane.llm.encoder import tokenizer_path
 from corvane.session import scratch_path
@@ -15,12 +15,31 @@ from corvane.session import scratch_path
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of every document; two thirds of the ids may be learned from."""
+    docs = load(spark, folder, "documents").withColumn("held_out", fold(3) == 1)
+    model = language_id.fit(docs.filter(~F.col("held_out")))
+    return language_id.predicted(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def fold(n: int) -> Column:
+    """CRC-32 of the id as text, modulo ``n``; null ids count as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(load(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document; four fifths of the ids may be learned from."""
+    docs = load(spark, folder, "documents").withColumn("held_out", fold(5) == 0)
+    ranker = quality_ranking.fit(docs.filter(~F.col("held_out")), load(spark, folder, "labels").filter(fold(5) != 0))
+    return quality_ranking.scored(docs, ranker).select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Documents encoded, written with Elias-Fano boundaries and read back."""
     path = scratch_path(spark, "token-files")
@@ -37,6 +56,15 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 4096 ids."""
+    pieces = packing.pack(load(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return pieces.select(
+        "doc_id", "start", "length", packing.crc32(F.col("ids"), F.col("width")).alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that a mix of 150% of all words takes from every document."""
     mixed = mixing.mix(load(spark, folder, "documents"))
@@ -45,9 +73,12 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Builder]:
     return {
+        "op1_language_id": op1_language_id,
         "op2_simhash": op2_simhash,
+        "op3_quality_ranking": op3_quality_ranking,
         "op4_token_files": op4_token_files,
         "op7_quality_rules": op7_quality_rules,
+        "op8_packing": op8_packing,
         "op9_mixing": op9_mixing,
     }
 
