@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import language_id, mixing, packing, quality_ranking, quality_rules, simhash, token_files
-from corvane.llm.common import load
+from corvane.llm import (
+    language_id,
+    minhash,
+    mixing,
+    packing,
+    quality_ranking,
+    quality_rules,
+    simhash,
+    token_files,
+    token_rollup,
+    url_filter,
+)
+from corvane.llm.common import load, stored, word_count
 from corvane.llm.encoder import tokenizer_path
 from corvane.session import scratch_path
 
@@ -47,6 +58,18 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, with their likenesses."""
+    found = minhash.compared(load(spark, folder, "documents"))
+    prints = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(prints)
+
+
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page URL, by rule or by the host and path classifier."""
+    return url_filter.judged(load(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures and the verdict of the line rule for every document."""
     found = quality_rules.judged(quality_rules.measured(load(spark, folder, "documents")))
@@ -71,15 +94,49 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", mixing.taken().alias("taken"))
 
 
+#: Words and single marks, and words with a letter or digit: the counts that op10 revises.
+WORDS_AND_MARKS = r"[^\x20\x09-\x0D.,!?;:]+|[.,!?;:]"
+SPOKEN_WORDS = r"[^\x20\x09-\x0D]*[A-Za-z0-9][^\x20\x09-\x0D]*"
+
+
+def op10_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after a load, deletes of toxic documents, a new tokenizer for all but English, and revised English counts."""
+    count = lambda pattern: F.coalesce(F.regexp_count("text", F.lit(pattern)), F.lit(0)).cast("bigint")
+    counts = stored(load(spark, folder, "documents").select(
+        "doc_id", "source", "lang", word_count(F.col("text")).alias("words"), count(WORDS_AND_MARKS).alias("marked"),
+        count(SPOKEN_WORDS).alias("spoken"),
+    ), "rollup-counts")
+    toxic = load(spark, folder, "labels").filter("toxic = 1").select("doc_id")
+    under = lambda df, tokenizer, n: df.withColumns({"tokenizer": F.lit(tokenizer), "n_tokens": F.col(n)})
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    left = counts.join(toxic, "doc_id", "left_anti")
+    revised = under(left.filter(english), "words-1", "spoken").withColumn("old_tokens", F.col("words"))
+    moved = left.filter(~english)
+    batches = [
+        ("load", token_rollup.inserts(under(counts, "words-1", "words"))),
+        ("toxic", token_rollup.deletes(under(counts.join(toxic, "doc_id", "left_semi"), "words-1", "words"))),
+        ("recount", token_rollup.changes(under(moved, "words-1", "words"), under(moved, "words-2", "marked"))),
+        ("revise", token_rollup.revisions(revised)),
+    ]
+    store = scratch_path(spark, "rollup")
+    # A batch that is sent again changes nothing.
+    for batch, signed in [*batches, batches[1]]:
+        token_rollup.commit(store, batch, signed)
+    return token_rollup.totals(spark, store)
+
+
 def queries() -> dict[str, Builder]:
     return {
         "op1_language_id": op1_language_id,
         "op2_simhash": op2_simhash,
         "op3_quality_ranking": op3_quality_ranking,
         "op4_token_files": op4_token_files,
+        "op5_minhash": op5_minhash,
+        "op6_url_filter": op6_url_filter,
         "op7_quality_rules": op7_quality_rules,
         "op8_packing": op8_packing,
         "op9_mixing": op9_mixing,
+        "op10_token_rollup": op10_token_rollup,
     }
 
 

@@ -13,8 +13,8 @@ pair is within ``radius`` if some coordinate differs by more, so pairs are
 discarded by their maximum coordinate difference, and only survivors are
 compared bit by bit. A task gives a spanning forest of what it finds, not pairs.
 
-Buckets above ``CHUNK`` fingerprints are cut into chunks that meet pairwise in
-separate tasks; nothing is capped. Null texts count as empty; a text without
+Large buckets are cut into chunks that meet pairwise in separate tasks
+(:mod:`corvane.llm.buckets`); nothing is capped. Null texts count as empty; a text without
 words has fingerprint zero and links like any other.
 """
 
@@ -30,12 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from corvane.llm.common import stored, tasks
+from corvane.llm import buckets
+from corvane.llm.common import stored
 from corvane.llm.components import components
 from corvane.session import frozen
 
 PIVOTS = 16
-CHUNK = 2048
 SEED = 42
 
 
@@ -154,9 +154,7 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def links(classes: DataFrame, masks: np.ndarray, radius: int, bits: int) -> DataFrame:
     """``(a, b)`` edges between the distinct ``fp`` of ``classes``: their components are those of all near pairs."""
-    spark = classes.sparkSession
-    width = bits // 8
-    keyed_schema = pa.schema([("slot", pa.int64()), ("fp", pa.binary())])
+    keyed_schema = pa.schema([("slot", pa.int64()), ("item", pa.binary())])
 
     def to_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,48 +166,18 @@ def links(classes: DataFrame, masks: np.ndarray, radius: int, bits: int) -> Data
                     slot = mixed64(slot * np.uint64(0x9E3779B97F4A7C15) ^ (prints[:, word] & mask[word]))
                 yield pa.RecordBatch.from_arrays([pa.array(slot.view(np.int64)), column], schema=keyed_schema)
 
-    slots = classes.select("fp").mapInArrow(to_slots, "slot bigint, fp binary")
-    # Only buckets above a chunk are listed, so the list is shorter than the rows by that factor.
-    large = slots.groupBy("slot").count().filter(F.col("count") > CHUNK).select(
-        "slot", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks")
-    )
-    own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    others = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(
-        F.least(own, j).alias("i"), F.greatest(own, j).alias("j")
-    ))
-    single = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
-    met = slots.join(large, "slot", "left").select(
-        "slot", "fp", F.explode(F.when(F.col("chunks").isNull(), single).otherwise(others)).alias("at")
-    ).select(F.xxhash64("slot", "at.i", "at.j").alias("slot"), "fp")
+    slots = classes.select("fp").mapInArrow(to_slots, "slot bigint, item binary")
 
     def to_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(slot: np.ndarray, raw: np.ndarray) -> pa.RecordBatch:
-            runs = np.cumsum(np.concatenate([[0], slot[1:] != slot[:-1]]))
-            alone = np.bincount(runs)[runs] == 1
-            runs, raw = runs[~alone], raw[~alone]
-            prints = as_words(raw.tobytes(), bits)
-            low = forest(len(raw), *near_pairs(prints, runs, radius))
+        def found(number: np.ndarray, raw: np.ndarray) -> pa.RecordBatch:
+            low = forest(len(raw), *near_pairs(as_words(raw.tobytes(), bits), number, radius))
             linked = np.flatnonzero(low != np.arange(len(low)))
             ends = [pa.array([raw[i].tobytes() for i in at], pa.binary()) for at in (low[linked], linked)]
             return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
 
-        held_slot, held = np.zeros(0, dtype=np.int64), np.zeros((0, width), dtype=np.uint8)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            slot = np.concatenate([held_slot, batch.column(0).to_numpy(zero_copy_only=False)])
-            raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, width)
-            held = np.concatenate([held, raw])
-            # The last bucket may go on in the next batch.
-            cut = int(np.flatnonzero(slot != slot[-1])[-1]) + 1 if slot[0] != slot[-1] else 0
-            if cut:
-                yield found(slot[:cut], held[:cut])
-            held_slot, held = slot[cut:], held[cut:]
-        if len(held):
-            yield found(held_slot, held)
-
-    seated = met.repartition(tasks(spark), "slot").sortWithinPartitions("slot")
-    return seated.mapInArrow(to_links, "a binary, b binary").distinct()
+        return buckets.runs(batches, bits // 8, found)
+
+    return buckets.met(slots).mapInArrow(to_links, "a binary, b binary").distinct()
 
 
 def grouped(prints: DataFrame, radius: int = 4, masks: np.ndarray | None = None, bits: int = 64) -> DataFrame:
