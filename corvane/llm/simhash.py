@@ -181,7 +181,7 @@ def links(classes: DataFrame, masks: np.ndarray, radius: int, bits: int) -> Data
 
 
 def grouped(prints: DataFrame, radius: int = 4, masks: np.ndarray | None = None, bits: int = 64) -> DataFrame:
-    """Adds ``component_id`` to rows of ``doc_id, fp``: the smallest doc_id reachable over near fingerprints.
+    """Adds ``root`` and ``component_id`` to rows of ``doc_id, fp``: the smallest doc_id reachable over near fingerprints.
 
     Null ids reach others but are never the smallest; a component without any
     id gets null. Give a stored table: it is read twice.
@@ -193,14 +193,31 @@ def grouped(prints: DataFrame, radius: int = 4, masks: np.ndarray | None = None,
     )
     lowest = of_class.groupBy("root").agg(F.min("low").alias("component_id"))
     # Stored on its own, so the join with the rows may split a fingerprint that a third of them share.
-    named = frozen(of_class.join(lowest, "root").select("fp", "component_id"))
+    named = frozen(of_class.join(lowest, "root").select("fp", "root", "component_id"))
     return prints.join(named, "fp")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 64, radius: int = 4, masks: np.ndarray | None = None) -> DataFrame:
-    """``doc_id, text_hash, fp, component_id`` of every row."""
+    """``doc_id, text_hash, fp, root, component_id`` of every row; ``root`` is the lowest fingerprint of the component."""
     prints = stored(docs.select(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
         fingerprint_column(F.col("text"), words, bits).alias("fp"),
     ), "simhash")
     return grouped(prints, radius, masks, bits)
+
+
+def representatives(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of ``docs`` per component of ``found``: lowest id (nulls last), then lowest text hash.
+
+    Rows that agree in both are reduced to one before they meet.
+    """
+    first = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("doc"), F.col("text_hash").alias("hash"))
+    # Components without any id have a null number; their fingerprint root tells them apart.
+    chosen = found.groupBy("root").agg(F.min(first).alias("first")).select(
+        F.col("first.doc").alias("__doc"), F.col("first.hash").alias("__hash")
+    ).distinct()
+    hashed = docs.withColumn("__own", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = hashed["doc_id"].eqNullSafe(chosen["__doc"]) & (hashed["__own"] == chosen["__hash"])
+    kept = hashed.join(chosen, same, "left_semi")
+    row = F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("row")
+    return kept.groupBy("doc_id", "__own").agg(row).select("doc_id", "row.*").select(*docs.columns)
