@@ -11,24 +11,21 @@ import numpy as np
 
 #: White space that a library and Python may class differently; texts with any of it are encoded in one call.
 ODD_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \t\n\r"]
-KEPT_WORDS = 300_000
+#: Encodings kept per worker; about 200 bytes each.
+KEPT_WORDS = 800_000
 LONGEST_KEPT = 64
+LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 
 
 class _Words(dict):
-    """Encoding of a piece of text; pieces not seen before are encoded on first use."""
+    """Encodings of pieces of text; a piece that is not held is encoded and not kept."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.encode(piece)
-        if len(piece) <= LONGEST_KEPT:
-            if len(self) >= KEPT_WORDS:
-                self.clear()
-            self[piece] = ids
-        return ids
+        return self.encode(piece)
 
 
 class Encoder:
@@ -36,8 +33,9 @@ class Encoder:
 
     ``spaces`` says what the tokenizer does with white space: ``"lead"`` puts
     one blank before a word into the word's first token and keeps the rest;
-    ``"drop"`` throws white space away. In both cases no token spans a cut
-    made here, so joined word encodings equal the encoding of the whole text.
+    ``"drop"`` throws white space away. Texts are cut at white space, and
+    between a letter and full stops or commas that end a word; no token spans
+    such a cut, so joined encodings equal the encoding of the whole text.
     Texts with odd white space or special token strings are never cut.
     """
 
@@ -48,8 +46,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
-        pattern = {"lead": r" ?\S+|\s+(?!\S)|\s", "drop": r"\S+"}[spaces]
-        self.cut = re.compile(pattern).findall
+        blank, rest = {"lead": (" ?", r"|\s+(?!\S)|\s"), "drop": ("", "")}[spaces]
+        self.cut = re.compile(
+            rf"{blank}[{LATIN}]+(?=[\s.,]|\Z)|[.,]+(?=\s|\Z)|{blank}\S+{rest}"
+        ).findall
         self.words = _Words(self.whole)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.marks = [*ODD_SPACE, *(t.content for t in added)]
@@ -63,7 +63,24 @@ class Encoder:
             return b""
         if any(mark in text for mark in self.marks):
             return self.whole(text)
-        return b"".join(map(self.words.__getitem__, self.cut(text)))
+        pieces = self.cut(text)
+        self.learn(pieces)
+        return b"".join(map(self.words.__getitem__, pieces))
+
+    def learn(self, pieces: list[str]) -> None:
+        """Encodes the pieces not held, all in one call."""
+        held = self.words
+        new = [p for p in set(pieces) if p not in held and len(p) <= LONGEST_KEPT]
+        if not new:
+            return
+        if len(self.words) + len(new) > KEPT_WORDS:
+            self.words.clear()
+        found = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, dtype=self.dtype).tobytes()
+        sizes = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(new)) * self.width
+        ends = np.cumsum(sizes).tolist()
+        for piece, start, end in zip(new, [0, *ends[:-1]], ends, strict=True):
+            self.words[piece] = ids[start:end]
 
 
 def encoder(path: str, spaces: str = "lead") -> Encoder:
