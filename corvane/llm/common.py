@@ -52,8 +52,9 @@ def key_buckets(df: DataFrame, key: str, per_task: int = 8, name: str = "bucket"
         splits.insert(1, 0.0)
     marked = df.withColumn("__at", F.col(key).cast("double"))
     cut = Bucketizer(splits=splits, inputCol="__at", outputCol="__bucket", handleInvalid="keep")
-    out = cut.transform(marked).withColumn(name, F.col("__bucket").cast("int")).drop("__at", "__bucket")
-    return out, len(splits)
+    last = len(splits) - 1
+    found = F.when(F.col("__at").isNull(), F.lit(last)).otherwise(F.col("__bucket").cast("int"))
+    return cut.transform(marked).withColumn(name, found).drop("__at", "__bucket"), last + 1
 
 
 def as_batches(rows: Iterator[dict], schema: pa.Schema, most_rows: int = 5000, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
