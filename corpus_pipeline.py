@@ -16,9 +16,10 @@ from corvane.llm import mixing, packing, quality_ranking, quality_rules, simhash
 from corvane.llm.common import DOCUMENT_COLUMNS, load, stored
 from corvane.llm.encoder import tokenizer_path
 
-#: Near-duplicates of this stage share 0.8 or more of their five-word shingles. For the angle of two 256-bit
-#: fingerprints that is at most 40 differing bits, which no block scheme covers; seeded bit choices do.
-NEAR_WORDS, NEAR_BITS, NEAR_RADIUS, NEAR_TABLES, NEAR_WIDTH = 5, 256, 40, 64, 18
+#: Near-duplicates of this stage share 0.8 or more of their five-word shingles. Two such sets differ in 39 of 256
+#: fingerprint bits on average, which no block scheme covers; seeded bit choices do. The radius leaves room for the
+#: spread of that number, and the exact similarity decides.
+NEAR_WORDS, NEAR_BITS, NEAR_RADIUS, NEAR_TABLES, NEAR_WIDTH, NEAR_SIMILAR = 5, 256, 54, 64, 18, 0.8
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +36,7 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the lowest id, then the lowest text hash; equal rows once."""
     masks = simhash.drawn_masks(NEAR_TABLES, NEAR_WIDTH, NEAR_BITS)
-    found = simhash.near_duplicates(docs, NEAR_WORDS, NEAR_BITS, NEAR_RADIUS, masks)
+    found = simhash.near_duplicates(docs, NEAR_WORDS, NEAR_BITS, NEAR_RADIUS, masks, NEAR_SIMILAR)
     return simhash.representatives(docs, found).select(*DOCUMENT_COLUMNS)
 
 

@@ -59,3 +59,22 @@ def runs(batches: Iterator[pa.RecordBatch], width: int, found: Callable[[np.ndar
         held_slot, held = slot[cut:], held[cut:]
     if len(held):
         yield call(held_slot, held)
+
+
+def spanning_edges(n: int, a: np.ndarray, b: np.ndarray, cost: np.ndarray) -> list[int]:
+    """Positions of the edges of a minimum spanning forest of ``n`` nodes."""
+    parent = list(range(n))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept = []
+    for i in np.argsort(cost, kind="stable").tolist():
+        x, y = root(int(a[i])), root(int(b[i]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept.append(i)
+    return kept

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 
 
@@ -28,12 +30,13 @@ def priced_pattern(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tupl
     return float(best[capacity]), counts
 
 
-def patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 2e-4, rounds: int = 20_000):
+def patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 2e-4, idle: int = 300):
     """``(columns, uses)``: patterns as rows of counts per size, and how often each is cut in whole.
 
     Starts from patterns of one size, adds the pattern that the knapsack
     prices highest under the dual values, and pivots it into the basis. Ends
-    when the dual bound is within ``gap`` of the objective. Uses are rounded
+    when the dual bound is within ``gap`` of the objective, or when ``idle``
+    pivots in a row have not improved it (a degenerate vertex). Uses are rounded
     down, so no size is cut more often than asked for; what is left is less
     than one use of each basic pattern.
     """
@@ -43,7 +46,12 @@ def patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float =
     basis = np.diag(capacity // sizes).astype(np.float64)
     inverse = np.linalg.inv(basis)
     uses = inverse @ demand
-    for round_ in range(1, rounds):
+    best, since = np.inf, 0
+    for round_ in itertools.count(1):
+        total = float(uses.sum())
+        best, since = (total, 0) if total < best * (1 - 1e-9) else (best, since + 1)
+        if since > idle:
+            break
         duals = inverse.sum(axis=0)
         value, counts = priced_pattern(duals, sizes, capacity)
         if value <= 1 + gap:

@@ -233,21 +233,7 @@ def spanning_forest(prints: np.ndarray, number: np.ndarray, least: float) -> tup
     if not first:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     a, b = np.concatenate(first), np.concatenate(second)
-    order = np.argsort(-np.concatenate(weight), kind="stable")
-    parent = list(range(len(prints)))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    kept = []
-    for i in order.tolist():
-        x, y = root(int(a[i])), root(int(b[i]))
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            kept.append(i)
+    kept = buckets.spanning_edges(len(prints), a, b, -np.concatenate(weight))
     return a[kept], b[kept]
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from corvane.llm import buckets
+from corvane.llm import buckets, minhash
 from corvane.llm.common import stored
 from corvane.llm.components import components
 from corvane.session import frozen
@@ -120,23 +120,25 @@ def pivot_table(prints: np.ndarray, seed: int = 11) -> np.ndarray:
     return np.stack([np.bitwise_count(prints ^ p).sum(axis=1, dtype=np.int16) for p in pivots], axis=1)
 
 
-def near_pairs(prints: np.ndarray, runs: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of near fingerprints with the same run number; ``runs`` is sorted."""
+def near_pairs(prints: np.ndarray, runs: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index pairs of near fingerprints with the same run number, and their distances; ``runs`` is sorted."""
     table = pivot_table(prints)
-    first, second = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    first, second, distance = ([np.zeros(0, dtype=np.int64)] for _ in range(3))
     left = np.arange(len(prints))
     for step in itertools.count(1):
         left = left[left + step < len(prints)]
         left = left[runs[left] == runs[left + step]]
         if not len(left):
-            return np.concatenate(first), np.concatenate(second)
+            return np.concatenate(first), np.concatenate(second), np.concatenate(distance)
         a, b = left, left + step
         for column in range(PIVOTS):
             fits = np.abs(table[a, column] - table[b, column]) <= radius
             a, b = a[fits], b[fits]
-        fits = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1, dtype=np.int16) <= radius
+        apart = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1, dtype=np.int64)
+        fits = apart <= radius
         first.append(a[fits])
         second.append(b[fits])
+        distance.append(apart[fits])
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -152,8 +154,12 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return low[low]
 
 
-def links(classes: DataFrame, masks: np.ndarray, radius: int, bits: int) -> DataFrame:
-    """``(a, b)`` edges between the distinct ``fp`` of ``classes``: their components are those of all near pairs."""
+def links(classes: DataFrame, masks: np.ndarray, radius: int, bits: int, closest: bool = False) -> DataFrame:
+    """``(a, b)`` edges between the distinct ``fp`` of ``classes``: their components are those of all near pairs.
+
+    With ``closest`` every edge is itself a near pair, taken from the smallest
+    distances up, so that edges can be verified one by one afterwards.
+    """
     keyed_schema = pa.schema([("slot", pa.int64()), ("item", pa.binary())])
 
     def to_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,9 +176,15 @@ def links(classes: DataFrame, masks: np.ndarray, radius: int, bits: int) -> Data
 
     def to_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(number: np.ndarray, raw: np.ndarray) -> pa.RecordBatch:
-            low = forest(len(raw), *near_pairs(as_words(raw.tobytes(), bits), number, radius))
-            linked = np.flatnonzero(low != np.arange(len(low)))
-            ends = [pa.array([raw[i].tobytes() for i in at], pa.binary()) for at in (low[linked], linked)]
+            a, b, apart = near_pairs(as_words(raw.tobytes(), bits), number, radius)
+            if closest:
+                kept = buckets.spanning_edges(len(raw), a, b, apart)
+                a, b = a[kept], b[kept]
+            else:
+                low = forest(len(raw), a, b)
+                b = np.flatnonzero(low != np.arange(len(low)))
+                a = low[b]
+            ends = [pa.array([raw[i].tobytes() for i in at], pa.binary()) for at in (a, b)]
             return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
 
         return buckets.runs(batches, bits // 8, found)
@@ -180,16 +192,36 @@ def links(classes: DataFrame, masks: np.ndarray, radius: int, bits: int) -> Data
     return buckets.met(slots).mapInArrow(to_links, "a binary, b binary").distinct()
 
 
-def grouped(prints: DataFrame, radius: int = 4, masks: np.ndarray | None = None, bits: int = 64) -> DataFrame:
-    """Adds ``root`` and ``component_id`` to rows of ``doc_id, fp``: the smallest doc_id reachable over near fingerprints.
+def near_duplicates(
+    docs: DataFrame, words: int = 4, bits: int = 64, radius: int = 4, masks: np.ndarray | None = None,
+    similar: float | None = None,
+) -> DataFrame:
+    """``doc_id, text_hash, fp, root, component_id`` of every row.
 
-    Null ids reach others but are never the smallest; a component without any
-    id gets null. Give a stored table: it is read twice.
+    ``component_id`` is the smallest doc_id reachable over near fingerprints;
+    null ids reach others but are never the smallest, and a component without
+    any id gets null. ``root`` names the component. With ``similar``, a link
+    must also have that exact Jaccard similarity of shingle sets.
     """
-    classes = frozen(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    roots = components(links(classes, block_masks(radius=radius) if masks is None else masks, radius, bits))
-    of_class = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root")
+    prints = stored(docs.select(
+        "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
+        fingerprint_column(F.col("text"), words, bits).alias("fp"),
+    ), "simhash")
+    classes = frozen(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.min("text_hash").alias("text")))
+    masks = block_masks(radius=radius, bits=bits) if masks is None else masks
+    edges = links(classes, masks, radius, bits, closest=similar is not None)
+    key = "fp"
+    if similar is not None:
+        key = "text"
+        ends = classes.select("fp", "text")
+        hashes = edges.join(ends.toDF("a", "one"), "a").join(ends.toDF("b", "two"), "b").select(
+            F.col("one").alias("a"), F.col("two").alias("b")
+        )
+        hashed = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
+        edges = minhash.verified(hashed, stored(hashes, "simhash-links"), words).filter(F.col("jaccard") >= similar).select("a", "b")
+    roots = components(edges)
+    of_class = classes.join(roots, classes[key] == roots["node"], "left").select(
+        "fp", "low", F.coalesce("root", key).alias("root")
     )
     lowest = of_class.groupBy("root").agg(F.min("low").alias("component_id"))
     # Stored on its own, so the join with the rows may split a fingerprint that a third of them share.
@@ -197,15 +229,6 @@ def grouped(prints: DataFrame, radius: int = 4, masks: np.ndarray | None = None,
     return prints.join(named, "fp")
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 64, radius: int = 4, masks: np.ndarray | None = None) -> DataFrame:
-    """``doc_id, text_hash, fp, root, component_id`` of every row; ``root`` is the lowest fingerprint of the component."""
-    prints = stored(docs.select(
-        "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
-        fingerprint_column(F.col("text"), words, bits).alias("fp"),
-    ), "simhash")
-    return grouped(prints, radius, masks, bits)
-
-
 def representatives(docs: DataFrame, found: DataFrame) -> DataFrame:
     """One row of ``docs`` per component of ``found``: lowest id (nulls last), then lowest text hash.
 
