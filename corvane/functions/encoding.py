@@ -18,13 +18,13 @@ def encode_entries(entries: Column) -> Column:
 
 
 def decode_vector(text: Column) -> Column:
-    """Text -> ``map<string,bigint>``; a closing ';' is allowed."""
+    """Text -> ``map<string,bigint>``; a closing ';' is allowed. The last ':' of an entry ends its feature."""
     items = F.filter(F.split(text, ";", -1), lambda s: s != "")
     return F.map_from_entries(
         F.transform(
             items,
             lambda s: F.struct(
-                F.substring_index(s, ":", 1),
+                F.regexp_replace(s, ":[^:]*$", ""),
                 F.substring_index(s, ":", -1).cast("bigint"),
             ),
         )

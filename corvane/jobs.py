@@ -12,12 +12,11 @@ from corvane.session import spread
 from corvane.sources import binary_points, models, text_io
 
 
-def tag_similarity_job(spark: SparkSession, inputs: list[str], output: str, include_zero: bool = False) -> None:
+def tag_similarity_job(spark: SparkSession, inputs: list[str], output: str) -> None:
     """Lines -> ``similarity<TAB>a<TAB>b`` in ascending order."""
     lines = spread(text_io.read_lines(spark, *inputs))
     counts = tags.tag_word_count(lines)
-    similar = tags.tag_similarity_all(counts) if include_zero else tags.tag_similarity(counts)
-    ordered = similar.orderBy("similarity", "a", "b").select("similarity", "a", "b")
+    ordered = tags.tag_similarity(counts).orderBy("similarity", "a", "b").select("similarity", "a", "b")
     text_io.write_pairs(ordered, output)
 
 
@@ -55,7 +54,7 @@ def image_cluster_job(spark: SparkSession, features: str, output: str, k: int, m
         text_io.bracketed_vector(text_io.tsv_field(F.col("line"), 2)).alias("x"),
     )
     model = sampled_kmeans.kmeans_ml(parsed, k, max_iter, seed)
-    text_io.write_pairs(sampled_kmeans.images_by_cluster(parsed, model), output)
+    text_io.write_pairs(sampled_kmeans.images_by_cluster(parsed, np.array(model.clusterCenters())), output)
 
 
 def classify_job(items: DataFrame, model_path: str, names: list[str], output: str) -> None:

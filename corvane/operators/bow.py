@@ -26,14 +26,14 @@ def bow_histogram(quantized: DataFrame, size: int) -> DataFrame:
     gather, however many descriptors it has.
     """
     counted = quantized.groupBy("image_id", "word").agg(F.count(F.lit(1)).alias("n"))
-    maps = counted.groupBy("image_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("by_word")
-    )
-    words = F.sequence(F.lit(0), F.lit(size - 1))
-    dense = F.transform(
-        words, lambda w: F.coalesce(F.try_element_at("by_word", w), F.lit(0).cast("bigint"))
-    )
-    return maps.select("image_id", dense.alias("counts"))
+    entry = F.struct(F.col("word").cast("int").alias("word"), "n")
+    found = counted.groupBy("image_id").agg(F.array_sort(F.collect_list(entry)).alias("found"))
+    # Each word is followed by the zeros up to the next one, the last by those up to the end.
+    zeros = lambda n: F.array_repeat(F.lit(0).cast("bigint"), n)
+    follows = F.concat(F.slice("found.word", 2, F.greatest(F.size("found") - 1, F.lit(0))), F.array(F.lit(size)))
+    runs = F.zip_with("found", follows, lambda e, after: F.concat(F.array(e["n"]), zeros(after - e["word"] - 1)))
+    dense = F.concat(zeros(F.col("found")[0]["word"]), F.flatten(runs))
+    return found.select("image_id", dense.alias("counts"))
 
 
 def bow_feature(quantized: DataFrame, size: int) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 # A chunk pair costs at most this many rows squared.
 CHUNK_ROWS = 1024
+# Tasks that share the rows of one key when something is looked up for it.
+SALTS = 32
 
 
 def parts_per_key(table: DataFrame, key: str, chunk_rows: int, value: str, name: str = "parts") -> DataFrame:
@@ -30,6 +32,18 @@ def parts_per_key(table: DataFrame, key: str, chunk_rows: int, value: str, name:
     )
 
 
+def salted_lookup(rows: DataFrame, table: DataFrame, key: str, item: str, how: str = "left", salts: int = SALTS) -> DataFrame:
+    """``rows`` joined with the one row per key of ``table``, without gathering a key in one task.
+
+    Rows of a key are spread by a hash of ``item`` over ``salts`` tasks, and the
+    lookup row is repeated for each. A lookup table small enough to broadcast is
+    left to adaptive execution.
+    """
+    salted = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64(F.col(item)), F.lit(salts)).cast("int"), F.lit(0)))
+    every = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(every, [key, "salt"], how).drop("salt")
+
+
 def chunk_of(item: Column, parts: Column) -> Column:
     # Never null, and declared so: otherwise the join infers a null test on the
     # chunk, which moves down to the source and parts the branches again.
@@ -40,24 +54,11 @@ def mark_by_key(table: DataFrame, key: str, item: str, value: str, chunk_rows: i
     """Adds ``parts`` and ``chunk``; only oversized keys have more than one part."""
     # No hint here: adaptive execution measures the list of large keys and
     # broadcasts it only when it is small.
-    sized = table.join(parts_per_key(table, key, chunk_rows, value), key, "left")
+    sized = salted_lookup(table, parts_per_key(table, key, chunk_rows, value), key, item)
     parts = F.coalesce(F.col("parts"), F.lit(1))
     return sized.withColumn("parts", parts).withColumn("chunk", chunk_of(F.col(item), F.col("parts")))
 
 
-def mark_as_one(table: DataFrame, item: str, value: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """The whole table as a single group, cut by its total size.
-
-    ``value`` is an aggregate of the table and never null. Reading it here keeps
-    later tests on the chunk above that aggregation.
-    """
-    total = table.agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(chunk_rows)), F.lit(1)).cast("int")
-    ).scalar()
-    sized = table.withColumn("parts", F.when(F.col(value).isNotNull(), total).otherwise(F.lit(1)))
-    return sized.withColumn("chunk", chunk_of(F.col(item), F.col("parts")))
-
-
 def spread_pairs(rows: DataFrame, on: list[str]) -> DataFrame:
     """Partitions by chunk pair. The number is given, because few input rows make
     many output rows here and adaptive execution would merge partitions by input."""
@@ -113,7 +114,7 @@ def chunked_join(
     rp = F.coalesce(F.col("rp"), F.lit(1))
 
     def cells(side: DataFrame, item: str, own: Column, other: Column, own_name: str, other_name: str) -> DataFrame:
-        sized = side.join(sizes, key, "left")
+        sized = salted_lookup(side, sizes, key, item)
         return sized.select(
             *side.columns,
             chunk_of(F.col(item), own).alias(own_name),

@@ -1,4 +1,4 @@
-"""User-written mappers and associative reducers over batches of rows."""
+"""User-written mappers over batches of rows."""
 
 from __future__ import annotations
 
@@ -7,9 +7,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-# Combined rows a task holds before it hands them on.
-HELD_ROWS = 100_000
-
 Batch = Callable[[pd.DataFrame], pd.DataFrame]
 
 
@@ -21,24 +18,3 @@ def map_rows(df: DataFrame, mapper: Batch, schema: str) -> DataFrame:
             yield mapper(batch)
 
     return df.mapInPandas(run, schema)
-
-
-def reduce_rows(df: DataFrame, keys: list[str], combiner: Batch) -> DataFrame:
-    """One row per key by an associative ``combiner`` (same columns in and out).
-
-    Every task combines its own rows first, so a key reaches its final group
-    with one row per task (or per ``HELD_ROWS`` keys), not with all its rows.
-    """
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            held = combiner(batch if held is None else pd.concat([held, batch]))
-            if len(held) >= HELD_ROWS:
-                yield held
-                held = None
-        if held is not None:
-            yield held
-
-    combined = df.mapInPandas(partial, df.schema)
-    return combined.groupBy(*keys).applyInPandas(combiner, df.schema)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.operators.nearest import (
-    SLICE_BYTES, assign_clusters, batch_matrix, centre_slices, nearest, sent_to_tasks,
+    SLICE_BYTES, assign_clusters, batch_matrix, centre_slices, nearest, nearest_margin, sent_to_tasks,
 )
 
 # Partial sums of all tasks that may go to the driver without a shuffle.
@@ -75,84 +75,140 @@ def partial_totals(points: DataFrame, centres: np.ndarray, previous: np.ndarray
     return points.select("x").mapInArrow(_partial_sums(sent), PARTIAL_SCHEMA)
 
 
-def cluster_totals(points: DataFrame, centres: np.ndarray, previous: np.ndarray | None = None,
+def cluster_arrays(points: DataFrame, centres: np.ndarray, previous: np.ndarray | None = None,
                    slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """``(cid, pos, n, changed, total)``: size, moved points and coordinate sums per cluster.
+    """``(cid, n, changed, sums)``: size, moved points and the sum vector, one row per cluster and task after the shuffle.
 
     ``changed`` counts points whose centre among ``previous`` was another one;
-    without ``previous`` all points count. The old membership is recomputed from
-    the old centres, so no per-point state outlives a step and a lost executor
-    costs only its own partitions. Sums are combined per task before the shuffle.
+    without ``previous`` all points count. No per-point state outlives a step,
+    so a lost executor costs only its own partitions. Vectors stay whole: rows
+    are added up before and after a shuffle by cluster, never taken apart.
     """
     partials = partial_totals(points, centres, previous, slice_bytes)
-    if partials is not None:
-        rows = partials.select("cid", "n", "changed", F.posexplode("sums").alias("pos", "v"))
-    else:
+    if partials is None:
         assigned = assign_clusters(points.select("x"), centres, keep_vector=True, slice_bytes=slice_bytes)
-        moved = F.lit(1)
         if previous is not None:
             assigned = assign_clusters(assigned, previous, name="old", keep_vector=True, slice_bytes=slice_bytes)
-            moved = (F.col("cid") != F.col("old")).cast("int")
-        rows = assigned.select(
-            "cid", F.lit(1).alias("n"), moved.alias("changed"), F.posexplode("x").alias("pos", "v")
-        )
+        old = "old" if previous is not None else F.lit(-1).alias("old")
+        partials = assigned.select("cid", old, "x").mapInArrow(_assigned_sums, PARTIAL_SCHEMA)
+    return partials.repartition("cid").mapInArrow(_added_rows, PARTIAL_SCHEMA)
+
+
+def cluster_totals(points: DataFrame, centres: np.ndarray, previous: np.ndarray | None = None,
+                   slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """``(cid, pos, n, changed, total)``: the sums of ``cluster_arrays`` by coordinate."""
+    rows = cluster_arrays(points, centres, previous, slice_bytes).select(
+        "cid", "n", "changed", F.posexplode("sums").alias("pos", "v")
+    )
     return rows.groupBy("cid", "pos").agg(
         F.sum("n").alias("n"), F.sum("changed").alias("changed"), F.sum("v").alias("total")
     )
 
 
 def total_arrays(points: DataFrame, centres: np.ndarray, previous: np.ndarray | None = None,
-                 slice_bytes: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``cluster_totals`` as arrays: (n, changed, sums).
+                 slice_bytes: int = SLICE_BYTES, parts: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, moved points and sums of all clusters as arrays.
 
     Few tasks hand their k x d partial sums straight to the driver; when those
     could exceed ``DIRECT_BYTES`` they are added up by a shuffle first.
+    ``parts`` is the number of tasks, where the caller knows it.
     """
     n, changed, sums = np.zeros(len(centres), int), np.zeros(len(centres), int), np.zeros(centres.shape)
-    direct = points.rdd.getNumPartitions() * centres.nbytes <= DIRECT_BYTES
+    if parts is None:
+        parts = points.rdd.getNumPartitions()
+    direct = parts * centres.nbytes <= DIRECT_BYTES
     partials = partial_totals(points, centres, previous, slice_bytes) if direct else None
-    if partials is not None:
-        table = partials.toArrow().combine_chunks()
-        cid = table["cid"].to_numpy()
-        np.add.at(n, cid, table["n"].to_numpy())
-        np.add.at(changed, cid, table["changed"].to_numpy())
+    if partials is None:
+        partials = cluster_arrays(points, centres, previous, slice_bytes)
+    table = partials.toArrow().combine_chunks()
+    cid = table["cid"].to_numpy()
+    np.add.at(n, cid, table["n"].to_numpy())
+    np.add.at(changed, cid, table["changed"].to_numpy())
+    if len(cid):
         flat = table["sums"].combine_chunks().flatten().to_numpy()
         np.add.at(sums, cid, flat.reshape(-1, centres.shape[1]))
-        return n, changed, sums
-    totals = cluster_totals(points, centres, previous, slice_bytes).toArrow().to_pandas()
-    sums[totals["cid"], totals["pos"]] = totals["total"]
-    first = totals[totals["pos"] == 0]
-    n[first["cid"]], changed[first["cid"]] = first["n"], first["changed"]
     return n, changed, sums
 
 
+def _grouped_sums(cid: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(cid, kind="stable")
+    present, starts = np.unique(cid[order], return_index=True)
+    return present, np.add.reduceat(rows[order], starts, axis=0)
+
+
+def _sums_batch(cid, n, changed, sums) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(cid, pa.int32()), pa.array(n, pa.int64()), pa.array(changed, pa.int64()), pa.array(list(sums), pa.list_(pa.float64()))],
+        names=["cid", "n", "changed", "sums"],
+    )
+
+
+class _Held:
+    """Sums of the clusters a task has met; clusters it never met take no room."""
+
+    def __init__(self):
+        self.rows: dict[int, list] = {}
+
+    def add(self, cid: np.ndarray, n: np.ndarray, changed: np.ndarray, sums: np.ndarray) -> None:
+        for c, count, moved, vector in zip(cid.tolist(), n.tolist(), changed.tolist(), sums, strict=True):
+            row = self.rows.get(c)
+            if row is None:
+                self.rows[c] = [count, moved, vector.copy()]
+            else:
+                row[0] += count
+                row[1] += moved
+                row[2] += vector
+
+    def batch(self) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            n, changed, sums = zip(*self.rows.values(), strict=True)
+            yield _sums_batch(list(self.rows), n, changed, sums)
+
+
+def _added_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = _Held()
+    for batch in batches:
+        if batch.num_rows:
+            held.add(*(batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)), batch_matrix(batch.column(3)))
+    yield from held.batch()
+
+
+def _assigned_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = _Held()
+    for batch in batches:
+        if batch.num_rows:
+            cid, old = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            present, sums = _grouped_sums(cid, batch_matrix(batch.column(2)))
+            held.add(present, np.bincount(cid)[present], np.bincount(cid[cid != old], minlength=cid.max() + 1)[present], sums)
+    yield from held.batch()
+
+
 def _partial_sums(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, *previous = sent.value
         n = np.zeros(len(centres), dtype=np.int64)
         changed = np.zeros(len(centres), dtype=np.int64)
         sums = np.zeros(centres.shape)
+        # No centre moved further than this, so a point whose second centre is
+        # farther than its own by twice as much had the same centre before.
+        reach = 2 * np.sqrt(((centres - previous[0]) ** 2).sum(axis=1).max()) if previous else 0.0
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = batch_matrix(batch.column(0))
-            cid, _ = nearest(x, centres, measure=False)
-            moved = cid if not previous else cid[nearest(x, previous[0], measure=False)[0] != cid]
+            cid, margin = nearest_margin(x, centres)
+            if previous:
+                open_ = np.flatnonzero(margin <= reach * (1 + 1e-9) + 1e-9)
+                was = nearest(x[open_], previous[0], measure=False)[0] if len(open_) else cid[:0]
+                moved = cid[open_][was != cid[open_]]
+            else:
+                moved = cid
             n += np.bincount(cid, minlength=len(n))
             changed += np.bincount(moved, minlength=len(n))
-            order = np.argsort(cid, kind="stable")
-            present, starts = np.unique(cid[order], return_index=True)
-            sums[present] += np.add.reduceat(x[order], starts, axis=0)
+            present, added = _grouped_sums(cid, x)
+            sums[present] += added
         used = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(used, pa.int32()),
-                pa.array(n[used]),
-                pa.array(changed[used]),
-                pa.array(list(sums[used]), pa.list_(pa.float64())),
-            ],
-            names=["cid", "n", "changed", "sums"],
-        )
+        yield _sums_batch(used, n[used], changed[used], sums[used])
 
     return run
 
@@ -170,9 +226,9 @@ def step_rows(points: DataFrame, centres: np.ndarray) -> DataFrame:
 
 
 def step_arrays(points: DataFrame, centres: np.ndarray, previous: np.ndarray | None,
-                slice_bytes: int = SLICE_BYTES) -> tuple[np.ndarray, int, int]:
+                slice_bytes: int = SLICE_BYTES, parts: int | None = None) -> tuple[np.ndarray, int, int]:
     """One step on the driver's k x d numbers: (new centres, changed, points)."""
-    n, changed, sums = total_arrays(points, centres, previous, slice_bytes)
+    n, changed, sums = total_arrays(points, centres, previous, slice_bytes, parts)
     new = np.array(centres, dtype=np.float64)
     new[n > 0] = sums[n > 0] / n[n > 0, None]
     return new, int(changed.sum()), int(n.sum())
@@ -194,10 +250,12 @@ def lloyd(points: DataFrame, k: int, threshold: float = 0.001, max_steps: int =
     if cache:
         table = table.persist()
     used, previous, trace = centres, None, []
+    # Asked once: under adaptive execution the question itself runs the shuffles below.
+    parts = table.rdd.getNumPartitions()
     try:
         for step in range(1, max_steps + 1):
             used = centres
-            centres, changed, n = step_arrays(table, used, previous, slice_bytes)
+            centres, changed, n = step_arrays(table, used, previous, slice_bytes, parts)
             previous = used
             delta = changed / n
             trace.append((step, changed, delta))

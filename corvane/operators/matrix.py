@@ -11,14 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.operators import chunks
+from corvane.session import frozen
 
 BLOCK = 64
 # Block rows (columns) of one output region handled by one task.
 GROUP = 16
 # Output blocks a task adds up before it hands them on.
 HELD_BLOCKS = 512
-# From this share of present cells on, dense blocks beat single cells.
-DENSE_SHARE = 0.1
 
 
 def cells(points: DataFrame, row: str = "id", vector: str = "x") -> DataFrame:
@@ -44,41 +43,38 @@ def matmul_coo(a: DataFrame, b: DataFrame, chunk_rows: int = chunks.CHUNK_ROWS)
 
 
 def matmul_block(a: DataFrame, b: DataFrame, block: int = BLOCK, group: int = GROUP) -> DataFrame:
-    """Dense product by blocks; edges count as zero. Indices are bigint from 0.
+    """Dense product by blocks. Indices are bigint from 0; cells that no product reaches are left out, as in ``matmul_coo``.
 
     Blocks of A and B meet by inner block and by output region (a square of
     ``group`` x ``group`` output blocks), so a short inner dimension still uses
     many tasks. Each task adds up its products per output block before the
-    shuffle; numpy only multiplies two blocks.
+    shuffle; numpy only multiplies two blocks. The regions a block goes to are
+    the regions the other side has, read off its own blocks.
     """
-    left = _blocks(a, block).select(
-        F.col("bj").alias("bk"), "bi", F.col("cells").alias("left"),
-        F.expr(f"bi div {group}").alias("gi"),
+    left, right = frozen(_blocks(a, block)), frozen(_blocks(b, block))
+    last_gi = left.agg(F.expr(f"max(bi) div {group}")).scalar()
+    last_gj = right.agg(F.expr(f"max(bj) div {group}")).scalar()
+    left = left.select(
+        F.col("bj").alias("bk"), "bi", F.col("cells").alias("left"), F.expr(f"bi div {group}").alias("gi"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), last_gj)).alias("gj"),
     )
-    right = _blocks(b, block).select(
-        F.col("bi").alias("bk"), "bj", F.col("cells").alias("right"),
-        F.expr(f"bj div {group}").alias("gj"),
+    right = right.select(
+        F.col("bi").alias("bk"), "bj", F.col("cells").alias("right"), F.expr(f"bj div {group}").alias("gj"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), last_gi)).alias("gi"),
     )
-    last_gi = a.agg(F.expr(f"max(i) div {block * group}")).scalar()
-    last_gj = b.agg(F.expr(f"max(j) div {block * group}")).scalar()
-    left = left.withColumn("gj", F.explode(F.sequence(F.lit(0).cast("bigint"), last_gj)))
-    right = right.withColumn("gi", F.explode(F.sequence(F.lit(0).cast("bigint"), last_gi)))
     on = ["bk", "gi", "gj"]
     met = left.repartition(*on).join(right.repartition(*on), on).select("bi", "bj", "left", "right")
     # One row per output block and task: the flat block, added up again by cell.
     sums = met.mapInArrow(_block_products(block), "bi bigint, bj bigint, cells array<double>")
-    flat = sums.select("bi", "bj", F.posexplode("cells").alias("at", "v"))
+    flat = sums.select("bi", "bj", F.posexplode("cells").alias("at", "v")).filter(F.col("v").isNotNull())
     total = flat.groupBy("bi", "bj", "at").agg(F.sum("v").alias("v"))
     i = F.col("bi") * block + F.expr(f"at div {block}")
     j = F.col("bj") * block + F.col("at") % block
-    out = total.select(i.alias("i"), j.alias("j"), "v")
-    # Padding lies outside the product.
-    rows, cols = a.agg(F.max("i")).scalar(), b.agg(F.max("j")).scalar()
-    return out.filter((F.col("i") <= rows) & (F.col("j") <= cols))
+    return total.select(i.alias("i"), j.alias("j"), "v")
 
 
 def _blocks(m: DataFrame, block: int) -> DataFrame:
-    """``(bi, bj, cells)``: row-major dense blocks, at most block x block cells each."""
+    """``(bi, bj, cells)``: row-major dense blocks with NaN-free values, then a byte per cell that says whether it is there."""
     cell = m.select(
         F.expr(f"i div {block}").alias("bi"),
         F.expr(f"j div {block}").alias("bj"),
@@ -91,22 +87,31 @@ def _blocks(m: DataFrame, block: int) -> DataFrame:
     def fill(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         dense = np.zeros(block * block)
         dense[group["at"]] = group["v"]
-        return pd.DataFrame({"bi": [key[0]], "bj": [key[1]], "cells": [dense.tobytes()]})
+        there = np.zeros(block * block, dtype=np.uint8)
+        there[group["at"]] = 1
+        return pd.DataFrame({"bi": [key[0]], "bj": [key[1]], "cells": [dense.tobytes() + there.tobytes()]})
 
     return unique.groupBy("bi", "bj").applyInPandas(fill, "bi bigint, bj bigint, cells binary")
 
 
+def _opened(raw: bytes, block: int) -> tuple[np.ndarray, np.ndarray]:
+    size = block * block
+    return np.frombuffer(raw, count=size).reshape(block, block), np.frombuffer(raw, np.uint8, size, 8 * size).reshape(block, block)
+
+
 def _block_products(block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], np.ndarray] = {}
+        held: dict[tuple[int, int], list[np.ndarray]] = {}
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
             for bi, bj, left, right in zip(*columns):
-                product = np.frombuffer(left).reshape(block, block) @ np.frombuffer(right).reshape(block, block)
+                (x, in_x), (y, in_y) = _opened(left, block), _opened(right, block)
+                reached = in_x.astype(np.float32) @ in_y.astype(np.float32) > 0
                 if (bi, bj) in held:
-                    held[bi, bj] += product
+                    held[bi, bj][0] += x @ y
+                    held[bi, bj][1] |= reached
                 else:
-                    held[bi, bj] = product
+                    held[bi, bj] = [x @ y, reached]
                 if len(held) >= HELD_BLOCKS:
                     yield _block_batch(held)
                     held = {}
@@ -116,28 +121,24 @@ def _block_products(block: int):
     return run
 
 
-def _block_batch(held: dict[tuple[int, int], np.ndarray]) -> pa.RecordBatch:
+def _block_batch(held: dict[tuple[int, int], list[np.ndarray]]) -> pa.RecordBatch:
     keys = list(held)
+    cells = pa.array(
+        np.concatenate([m.ravel() for m, _ in held.values()]), mask=~np.concatenate([r.ravel() for _, r in held.values()])
+    )
+    ends = np.arange(len(keys) + 1, dtype=np.int32) * (len(cells) // len(keys))
     return pa.RecordBatch.from_arrays(
         [
             pa.array([k[0] for k in keys], pa.int64()),
             pa.array([k[1] for k in keys], pa.int64()),
-            pa.array([m.ravel() for m in held.values()], pa.list_(pa.float64())),
+            pa.ListArray.from_arrays(pa.array(ends), cells),
         ],
         names=["bi", "bj", "cells"],
     )
 
 
-def dense_share(m: DataFrame) -> float:
-    """Present cells over all cells."""
-    row = m.agg(F.count(F.lit(1)).alias("n"), F.max("i").alias("i"), F.max("j").alias("j")).first()
-    return 0.0 if not row["n"] else row["n"] / ((row["i"] + 1) * (row["j"] + 1))
-
-
-def matmul(a: DataFrame, b: DataFrame, method: str = "auto") -> DataFrame:
-    """``A . B``; ``auto`` counts the cells and takes blocks when both are dense."""
-    if method == "auto":
-        method = "block" if min(dense_share(a), dense_share(b)) >= DENSE_SHARE else "coo"
+def matmul(a: DataFrame, b: DataFrame, method: str = "coo") -> DataFrame:
+    """``A . B`` by ``coo`` or ``block``: the same cells, those with at least one product. Blocks suit dense inputs."""
     if method not in ("coo", "block"):
         raise ValueError(f"unknown method {method!r}")
     return matmul_block(a, b) if method == "block" else matmul_coo(a, b)

@@ -23,7 +23,14 @@ MIN_BLOCK_ROWS = 64
 
 
 def batch_matrix(column: pa.Array) -> np.ndarray:
-    """List column of equal lengths -> (rows, d) float64."""
+    """List column of equal lengths -> (rows, d) float64; nulls and other lengths raise."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if column.null_count:
+        raise ValueError("a vector is null")
+    lengths = np.diff(column.offsets.to_numpy())
+    if len(lengths) and lengths.min() != lengths.max():
+        raise ValueError(f"vectors of {lengths.min()} and {lengths.max()} coordinates in one table")
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(len(column), -1)
 
@@ -38,12 +45,21 @@ def exact_sq_distance(x: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def nearest(x: np.ndarray, centres: np.ndarray, measure: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
-    """``(index, squared distance)`` per row; the lowest index wins a tie.
+    """``(index, squared distance)`` per row; the lowest index wins a tie."""
+    index, _ = nearest_margin(x, centres)
+    return index, exact_sq_distance(x, centres[index]) if measure else None
+
+
+def nearest_margin(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(index, margin)`` per row: how much farther the second centre is than the nearest, 0 if in doubt.
 
     A matrix product ranks the centres up to rounding. Only rows whose second
     best centre is that close are measured exactly against all such centres.
     """
+    if x.shape[1] != centres.shape[1]:
+        raise ValueError(f"points have {x.shape[1]} coordinates, centres {centres.shape[1]}")
     index = np.zeros(len(x), dtype=np.int32)
+    margin = np.zeros(len(x))
     norms = (centres * centres).sum(axis=1)
     twice = np.ascontiguousarray(-2.0 * centres.T)
     block = max(MIN_BLOCK_ROWS, BLOCK_CELLS // len(centres))
@@ -56,9 +72,14 @@ def nearest(x: np.ndarray, centres: np.ndarray, measure: bool = True) -> tuple[n
         best = rough.argmin(axis=1)
         rows = np.arange(len(part))
         low = rough[rows, best]
-        limit = low + slack * (np.einsum("ij,ij->i", part, part) + norms.max())
+        own = np.einsum("ij,ij->i", part, part)
+        limit = low + slack * (own + norms.max())
         rough[rows, best] = np.inf
-        close = np.flatnonzero(rough.min(axis=1) <= limit)
+        second = rough.min(axis=1)
+        close = np.flatnonzero(second <= limit)
+        error = slack * (own + norms.max())
+        far = np.sqrt(np.maximum(second + own - error, 0)) if len(centres) > 1 else np.full(len(part), np.inf)
+        margin[at : at + block] = far - np.sqrt(np.maximum(low + own + error, 0))
         if len(close):
             rough[close, best[close]] = low[close]
             row, cid = np.nonzero(rough[close] <= limit[close, None])
@@ -66,8 +87,9 @@ def nearest(x: np.ndarray, centres: np.ndarray, measure: bool = True) -> tuple[n
             order = np.lexsort((cid, exact, row))
             first = np.unique(row[order], return_index=True)[1]
             best[close] = cid[order[first]]
+            margin[at + close] = 0
         index[at : at + block] = best
-    return index, exact_sq_distance(x, centres[index]) if measure else None
+    return index, margin
 
 
 @dataclass

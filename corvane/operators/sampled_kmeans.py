@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import vectors
 from corvane.operators.lloyd import centre_rows, total_arrays
-from corvane.session import scratch_path
+from corvane.operators.nearest import assign_clusters
 
 
 def kmeans_ml(points: DataFrame, k: int, max_iter: int, seed: int = 17):
@@ -28,41 +30,46 @@ def ml_centres(points: DataFrame, model) -> DataFrame:
     return centre_rows(points.sparkSession, np.array(model.clusterCenters()))
 
 
-def images_by_cluster(keyed: DataFrame, model) -> DataFrame:
-    """``(prediction, key)`` for a table with a ``key`` and ``x``."""
-    return model.transform(as_features(keyed)).select("prediction", "key")
+def images_by_cluster(keyed: DataFrame, centres: np.ndarray) -> DataFrame:
+    """``(prediction, key)`` for a table with a ``key`` and ``x``; centres of any clustering."""
+    return assign_clusters(keyed, centres, name="prediction").select("prediction", "key")
+
+
+@dataclass
+class MiniBatches:
+    """``centres`` (k x d), ``points`` of the table, ``seen`` points over all passes."""
 
+    centres: np.ndarray
+    points: int
+    seen: int
 
-def minibatch_kmeans(points: DataFrame, k: int, max_iter: int = 100, batch_rows: int = 1024,
-                     seed: int = 17) -> np.ndarray:
-    """Centres moved by one random batch at a time with step 1 / (points seen).
 
-    Batches are cut once, by a hash of the id, into a table partitioned by
-    batch; each step then reads its own batch only. Few points are visited
-    again after the last batch.
+def minibatch_kmeans(points: DataFrame, k: int, passes: int = 100, batches_per_pass: int = 16,
+                     seed: int = 17) -> MiniBatches:
+    """Centres moved by one batch at a time with step 1 / (points seen).
+
+    A pass visits every point once: batch ``b`` holds the points whose hash is
+    ``b``, cut anew for each pass. The table is cached where it is; a batch is
+    a filter over it, and k x d sums come back per batch.
     """
-    spark = points.sparkSession
     draw = F.xxhash64(F.lit(seed), "id")
     first = points.orderBy(draw, "id").limit(k).collect()
     if len(first) < k:
         raise ValueError(f"k = {k} exceeds the number of points ({len(first)})")
     centres = np.array([r["x"] for r in first], dtype=np.float64)
-
-    # One bucket holds about batch_rows points, and a run visits max_iter of
-    # them at most: only those leave the scan, each as one small file.
-    n_batches = max(1, -(-points.count() // batch_rows))
-    bucket = F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(n_batches))
-    path = scratch_path(spark, "minibatches")
-    cut = points.withColumn("batch", bucket).filter(F.col("batch") < max_iter)
-    cut.repartition("batch").write.partitionBy("batch").parquet(path)
-    table = spark.read.parquet(path)
-
+    table = points.select("id", "x").persist()
     seen = np.zeros(k)
-    for step in range(max_iter):
-        batch = table.filter(F.col("batch") == step % min(n_batches, max_iter))
-        n, _, sums = total_arrays(batch, centres)
-        moved = n > 0
-        seen += n
-        # All single 1/seen steps of a batch add up to the running mean.
-        centres[moved] += (sums - n[:, None] * centres)[moved] / seen[moved, None]
-    return centres
+    try:
+        count = table.count()
+        parts = table.rdd.getNumPartitions()
+        for turn in range(passes):
+            bucket = F.pmod(F.xxhash64(F.lit(seed + 1 + turn), "id"), F.lit(batches_per_pass))
+            for batch in range(batches_per_pass):
+                n, _, sums = total_arrays(table.filter(bucket == batch), centres, parts=parts)
+                moved = n > 0
+                seen += n
+                # All single 1/seen steps of a batch add up to the running mean.
+                centres[moved] += (sums - n[:, None] * centres)[moved] / seen[moved, None]
+    finally:
+        table.unpersist()
+    return MiniBatches(centres, count, int(seen.sum()))

@@ -9,7 +9,8 @@ from corvane.functions import encoding, text
 from corvane.operators import chunks
 from corvane.operators.ngrams import token_table
 
-SEGMENT_FEATURES = 5000
+# Rows a vector is written as; raise it with the vocabulary.
+SEGMENTS = 16
 
 
 def tag_word_count(lines: DataFrame, tag: str | None = None) -> DataFrame:
@@ -26,19 +27,18 @@ def tag_word_count(lines: DataFrame, tag: str | None = None) -> DataFrame:
     return rows.groupBy("tag", "word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def encode_vectors(counts: DataFrame, key: str, feature: str, segment_features: int = SEGMENT_FEATURES) -> DataFrame:
+def encode_vectors(counts: DataFrame, key: str, feature: str, segments: int = SEGMENTS) -> DataFrame:
     """``(key, segment, vector)``: the features of a key as ``f1:c1;f2:c2`` text.
 
-    A key with more than ``segment_features`` features is written as several
-    rows, so the vector of a very common key is never built in one task.
+    Every key is cut into the same ``segments`` by a hash of the feature, so the
+    layout never depends on the size of a key; segments without a feature have
+    no row. The long form ``(key, feature, cnt)`` stays the table to compute with.
     """
-    sizes = chunks.parts_per_key(counts, key, segment_features, "cnt")
     # Fixed by the text of the feature alone: every engine cuts alike.
     digest = F.conv(F.substring(F.md5(F.col(feature).cast("binary")), 1, 8), 16, 10).cast("bigint")
-    parts = F.coalesce(F.col("parts"), F.lit(1)).cast("bigint")
-    cut = counts.join(sizes, key, "left").select(
+    cut = counts.select(
         key,
-        F.pmod(digest, parts).alias("segment"),
+        F.pmod(digest, F.lit(segments).cast("bigint")).alias("segment"),
         F.struct(F.col(feature).alias("feature"), F.col("cnt")).alias("entry"),
     )
     return cut.groupBy(key, "segment").agg(
@@ -72,26 +72,5 @@ def tag_similarity_to(counts: DataFrame, tag: str) -> DataFrame:
     # the counting and read the text a second time.
     own = F.sum(F.when(F.col("tag") == tag, F.col("cnt")))
     one = counts.groupBy("word").agg(own.alias("one_cnt")).filter(F.col("one_cnt").isNotNull())
-    met = counts.join(one, "word")
+    met = chunks.salted_lookup(counts, one, "word", "tag", "inner")
     return met.groupBy("tag").agg(F.sum(F.col("cnt") * F.col("one_cnt")).alias("similarity"))
-
-
-def tag_pairs_all(counts: DataFrame, chunk_rows: int = chunks.CHUNK_ROWS) -> DataFrame:
-    """Every pair of tags ``a < b``: the result is quadratic by definition.
-
-    Tags are cut into chunks and chunk pairs joined on equality, so the rows
-    are produced by many even tasks and no side is broadcast.
-    """
-    # The maximum keeps the columns of the other uses of ``counts``: one shuffle
-    # serves all of them.
-    tags = counts.groupBy("tag").agg(F.max("cnt").alias("peak")).filter(F.col("peak").isNotNull())
-    return chunks.unordered_pairs(chunks.mark_as_one(tags, "tag", "peak", chunk_rows), [], "tag")
-
-
-def tag_similarity_all(counts: DataFrame, chunk_rows: int = chunks.CHUNK_ROWS) -> DataFrame:
-    """``tag_similarity`` with the pairs that share nothing, as 0."""
-    pairs = tag_pairs_all(counts, chunk_rows)
-    shared = tag_similarity(counts, chunk_rows)
-    return pairs.join(shared, ["a", "b"], "left").select(
-        "a", "b", F.coalesce("similarity", F.lit(0).cast("bigint")).alias("similarity")
-    )

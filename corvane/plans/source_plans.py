@@ -10,7 +10,7 @@ from corvane.plans.registry import load, plan
 from corvane.plans.text_plans import LINES_SQL, POSTS_SQL, doc_lines, post_counts
 from corvane.plans.vector_plans import double_points, points, round6, rounded
 from corvane.session import scratch_path
-from corvane.sources import binary_points, files, text_io
+from corvane.sources import binary_points, text_io
 
 FLAT_SQL = (
     f"SELECT vec_id AS id, pos, {rounded('v')} AS v FROM (SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS v, "
@@ -93,11 +93,6 @@ def sink_roundtrip(spark, folder):
     return text_io.read_pairs(spark, path + "-copy", "word string, tag string, cnt bigint")
 
 
-@plan("file_inventory")
-def file_inventory(spark, folder):
-    return files.file_inventory(spark, folder, r".*\.parquet", recursive=True)
-
-
 @plan(
     "hidden_filter",
     "SELECT name FROM (SELECT CASE WHEN quality = 0 THEN '.' ELSE '' END || 'doc-' || doc_id AS name FROM labels) "
@@ -119,20 +114,22 @@ def prefix_paths(spark, folder):
 
 
 @plan(
-    "custom_map_reduce",
-    "SELECT source, count(*) AS texts, CAST(sum(length(text)) AS BIGINT) AS chars, "
-    "CAST(max(length(text)) AS BIGINT) AS longest FROM documents GROUP BY source",
+    "custom_map",
+    "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes, CAST(crc32 AS BIGINT) AS sum FROM (SELECT doc_id, text, "
+    "list_reduce(list_prepend(CAST(1 AS BIGINT), list_transform(range(1, length(text) + 1), "
+    "lambda i: CAST(unicode(text[i]) AS BIGINT))), lambda a, c: (a * 31 + c) % 65521) AS crc32 FROM documents)",
 )
-def custom_map_reduce(spark, folder):
-    """A pandas mapper and an associative combiner: text sizes per source."""
+def custom_map(spark, folder):
+    """A user's mapper: the byte length and a rolling checksum of each text, which no built-in function gives."""
 
-    def sizes(batch):
-        chars = batch["text"].str.len()
-        return batch[["source"]].assign(texts=1, chars=chars, longest=chars)
+    def rolled(text: str) -> int:
+        value = 1
+        for c in text:
+            value = (value * 31 + ord(c)) % 65521
+        return value
 
-    def combine(rows):
-        return rows.groupby("source", as_index=False).agg({"texts": "sum", "chars": "sum", "longest": "max"})
+    def sums(batch):
+        return batch[["doc_id"]].assign(bytes=batch["text"].map(lambda t: len(t.encode())), sum=batch["text"].map(rolled))
 
-    docs = load(spark, folder, "documents").select("source", "text")
-    mapped = custom.map_rows(docs, sizes, "source string, texts bigint, chars bigint, longest bigint")
-    return custom.reduce_rows(mapped, ["source"], combine)
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    return custom.map_rows(docs, sums, "doc_id bigint, bytes bigint, sum bigint")

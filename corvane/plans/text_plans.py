@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions import encoding, text
-from corvane.operators import ngrams, ranking, tags
+from corvane.operators import chunks, ngrams, ranking, tags
 from corvane.plans.registry import load, plan
 from corvane.session import spread
 
@@ -68,7 +68,7 @@ occurrences AS (
   SELECT unnest(list_filter(w, lambda t: starts_with(t, '#'))) AS tag,
          list_filter(w, lambda t: NOT starts_with(t, '#')) AS words
   FROM posts),
-counts AS (
+counts AS MATERIALIZED (
   SELECT tag, word, CAST(count(*) AS BIGINT) AS cnt
   FROM (SELECT tag, unnest(words) AS word FROM occurrences)
   GROUP BY tag, word)"""
@@ -236,14 +236,10 @@ def tag_word_count(spark, folder):
 
 def _segments_sql(key: str, feature: str) -> str:
     return f""",
-sized AS (
-  SELECT {key}, CASE WHEN count(*) > {tags.SEGMENT_FEATURES}
-                     THEN CAST(ceil(count(*) / {tags.SEGMENT_FEATURES}.0) AS BIGINT) ELSE 1 END AS parts
-  FROM counts GROUP BY {key}),
 vectors AS (
-  SELECT {key}, CAST(('0x' || substr(md5({feature}), 1, 8)) AS BIGINT) % parts AS segment,
+  SELECT {key}, CAST(('0x' || substr(md5({feature}), 1, 8)) AS BIGINT) % {tags.SEGMENTS} AS segment,
          string_agg({feature} || ':' || cnt, ';' ORDER BY {feature}) AS vector
-  FROM counts JOIN sized USING ({key})
+  FROM counts
   GROUP BY 1, 2)"""
 
 
@@ -305,7 +301,7 @@ def sparse_dot(spark, folder):
     doc_words = doc_words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("cnt"))
     items = load(spark, folder, "benchmark").select(F.col("text").alias("line"))
     other = ngrams.ngram_count(items, 1).select(F.col("gram").alias("word"), F.col("cnt").alias("other"))
-    met = doc_words.join(other, "word")
+    met = chunks.salted_lookup(doc_words, other, "word", "doc_id", "inner")
     return met.groupBy("doc_id").agg(F.sum(F.col("cnt") * F.col("other")).alias("dot"))
 
 
@@ -337,25 +333,6 @@ def tag_similarity(spark, folder):
     return tags.tag_similarity(post_counts(spark, folder))
 
 
-@plan(
-    "tag_pairs_all",
-    f"WITH {POSTS_SQL}, tags AS (SELECT DISTINCT tag FROM counts) "
-    "SELECT x.tag AS a, y.tag AS b FROM tags x JOIN tags y ON x.tag < y.tag",
-)
-def tag_pairs_all(spark, folder):
-    return tags.tag_pairs_all(post_counts(spark, folder))
-
-
-@plan(
-    "tag_similarity_all",
-    f"WITH {SIMILAR_SQL}, tags AS (SELECT DISTINCT tag FROM counts) "
-    "SELECT x.tag AS a, y.tag AS b, coalesce(s.similarity, 0) AS similarity "
-    "FROM tags x JOIN tags y ON x.tag < y.tag LEFT JOIN pair_sums s ON s.a = x.tag AND s.b = y.tag",
-)
-def tag_similarity_all(spark, folder):
-    return tags.tag_similarity_all(post_counts(spark, folder))
-
-
 @plan(
     "similarity_ranked",
     f"WITH {SIMILAR_SQL} SELECT a, b, similarity, "

@@ -14,6 +14,8 @@ from corvane.sources import text_io
 
 K = 10
 CODEWORDS = 16
+# Passes over all points and batches of a pass for the mini-batch queries.
+PASSES, BATCHES = 3, 4
 IMAGE_CLUSTERS = 4
 # Consecutive descriptors that belong to one image.
 IMAGE_ROWS = 25
@@ -304,10 +306,8 @@ def membership_text(spark, folder):
     f"{NEAREST_SQL} SELECT cid AS prediction, 'image-' || id AS key FROM a1",
 )
 def images_by_cluster(spark, folder):
-    assigned = assign_clusters(points(spark, folder), seeds(spark, folder))
-    return assigned.select(
-        F.col("cid").alias("prediction"), F.concat(F.lit("image-"), F.col("id").cast("string")).alias("key")
-    )
+    key = F.concat(F.lit("image-"), F.col("id").cast("string")).alias("key")
+    return sampled_kmeans.images_by_cluster(points(spark, folder).select(key, "x"), seeds(spark, folder))
 
 
 @plan("kmeans_ml")
@@ -315,7 +315,7 @@ def kmeans_ml(spark, folder):
     table = points(spark, folder)
     model = sampled_kmeans.kmeans_ml(table, K, 20)
     keyed = table.select(F.col("id").alias("key"), "x")
-    return sampled_kmeans.images_by_cluster(keyed, model)
+    return sampled_kmeans.images_by_cluster(keyed, np.array(model.clusterCenters()))
 
 
 @plan("kmeans_ml_centers")
@@ -327,15 +327,32 @@ def kmeans_ml_centers(spark, folder):
 @plan("minibatch_kmeans")
 def minibatch_kmeans(spark, folder):
     table = points(spark, folder)
-    centres = sampled_kmeans.minibatch_kmeans(table, K, max_iter=10, batch_rows=256)
-    return assign_clusters(table, centres).select("id", "cid")
+    found = sampled_kmeans.minibatch_kmeans(table, K, PASSES, BATCHES)
+    return assign_clusters(table, found.centres).select("id", "cid")
+
+
+@plan(
+    "minibatch_coverage",
+    f"SELECT count(*) AS points, CAST({PASSES} AS INTEGER) AS passes, {PASSES} * count(*) AS seen, true AS cost_not_above_seeds "
+    "FROM embeddings WHERE embedding IS NOT NULL",
+)
+def minibatch_coverage(spark, folder):
+    """Every point is used in every pass, and the centres are no worse than their seeds."""
+    table = points(spark, folder)
+    start = sampled_kmeans.minibatch_kmeans(table, K, 0, BATCHES).centres
+    found = sampled_kmeans.minibatch_kmeans(table, K, PASSES, BATCHES)
+    cost = lambda m, name: assign_clusters(table, m).agg(F.sum("d2").alias(name))
+    both = cost(start, "before").join(cost(found.centres, "after"), F.lit(True))
+    return both.select(
+        F.lit(found.points).cast("bigint").alias("points"), F.lit(PASSES).alias("passes"),
+        F.lit(found.seen).cast("bigint").alias("seen"), (F.col("after") <= F.col("before")).alias("cost_not_above_seeds"),
+    )
 
 
 @plan("codebook")
 def codebook(spark, folder):
     table = points(spark, folder)
-    centres = sampled_kmeans.minibatch_kmeans(table, CODEWORDS, max_iter=10, batch_rows=256)
-    return lloyd.centre_rows(spark, centres)
+    return lloyd.centre_rows(spark, sampled_kmeans.minibatch_kmeans(table, CODEWORDS, PASSES, BATCHES).centres)
 
 
 # ------------------------------------------------------------- bag of words

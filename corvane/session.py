@@ -30,7 +30,8 @@ def build_session(app: str = "corvane", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 
-    Only a session that names none (local tests) gets a folder of its own.
+    Only a local session that names none (tests) gets a folder of its own: on a
+    cluster a private folder would be another one on every machine.
     """
     sc = spark.sparkContext
     named = spark.conf.get(SCRATCH_KEY, None) or sc.getConf().get(SCRATCH_KEY)
@@ -41,6 +42,8 @@ def shared_folder(spark: SparkSession) -> str:
     own = sc.getCheckpointDir()
     if own:
         return own
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError(f"set {SCRATCH_KEY} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="corvane-")
     sc.setCheckpointDir(folder)
     return folder

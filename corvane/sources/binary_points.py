@@ -1,12 +1,17 @@
 """Raw binary points: ``int32 n, int32 d`` and ``n * d`` little-endian float32.
 
 Format name ``binary_points``; a path is one file or a folder of such files.
-Rows read as ``(id, x)``, numbered across the files in name order.
+Rows read as ``(id, x)``, numbered across the files in name order. A folder
+written here also holds ``_manifest``: its files in order, with their sizes. The
+manifest is what commits a write, and readers need to open no file to plan.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +24,8 @@ from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage,
 )
 
+from corvane.operators.nearest import batch_matrix
+
 HEADER = np.dtype("<i4")
 VALUE = np.dtype("<f4")
 SCHEMA = "id bigint, x array<float>"
@@ -27,6 +34,9 @@ FORMAT = "binary_points"
 SPLIT_ROWS = 1 << 20
 FILE_BYTES = 128 << 20
 READ_ROWS = 8192
+MANIFEST = "_manifest"
+# Headers read at once where a folder has no manifest.
+HEADER_READERS = 32
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -44,6 +54,32 @@ def _data_files(path: str) -> list[str]:
     return sorted(names)
 
 
+def _manifest(path: str) -> list[tuple[str, int, int]] | None:
+    """``(file, rows, width)`` as the last committed write left them; None without a manifest."""
+    store, where = _open(path)
+    name = f"{where.rstrip('/')}/{MANIFEST}"
+    if store.get_file_info(name).type != fs.FileType.File:
+        return None
+    with store.open_input_file(name) as source:
+        return [(f"{where.rstrip('/')}/{f}", n, d) for f, n, d in json.loads(source.read())]
+
+
+def _sizes(path: str) -> list[tuple[str, int, int]]:
+    """``(file, rows, width)`` in order, from the manifest or the headers."""
+    known = _manifest(path)
+    if known is not None:
+        return known
+    store, _ = _open(path)
+
+    def header(name: str) -> tuple[str, int, int]:
+        with store.open_input_file(name) as source:
+            n, width = np.frombuffer(source.read(2 * HEADER.itemsize), HEADER).tolist()
+        return name, n, width
+
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        return list(pool.map(header, _data_files(path)))
+
+
 @dataclass
 class RowRange(InputPartition):
     file: str
@@ -59,11 +95,8 @@ class PointsReader(DataSourceReader):
         self.split_rows = int(options.get("splitrows", SPLIT_ROWS))
 
     def partitions(self) -> list[RowRange]:
-        store, _ = _open(self.path)
         out, before = [], 0
-        for name in _data_files(self.path):
-            with store.open_input_file(name) as source:
-                n, width = np.frombuffer(source.read(2 * HEADER.itemsize), HEADER).tolist()
+        for name, n, width in _sizes(self.path):
             for row in range(0, n, self.split_rows):
                 out.append(RowRange(name, before + row, row, min(self.split_rows, n - row), width))
             before += n
@@ -85,13 +118,14 @@ class PointsReader(DataSourceReader):
 
 @dataclass
 class WrittenFiles(WriterCommitMessage):
-    names: list[str]
+    files: list[tuple[str, int, int]]
 
 
 class PointsWriter(DataSourceArrowWriter):
     """Each task writes files of bounded size into a hidden folder; the commit
-    moves those of the successful attempts, so lost or repeated tasks leave
-    nothing behind."""
+    moves those of the successful attempts beside the old ones, then replaces
+    the manifest, then deletes the old files. A failure at any point leaves
+    either the old points or the new ones readable."""
 
     def __init__(self, options: dict, overwrite: bool):
         self.path = options["path"].rstrip("/")
@@ -112,15 +146,14 @@ class PointsWriter(DataSourceArrowWriter):
             with store.open_output_stream(f"{folder}/{name}") as sink:
                 sink.write(np.array(block.shape, HEADER).tobytes())
                 sink.write(block.tobytes())
-            names.append(f"{folder}/{name}")
+            names.append((f"{folder}/{name}", *block.shape))
             held.clear()
 
         for batch in iterator:
             if not batch.num_rows:
                 continue
             column = batch.column(batch.schema.get_field_index("x"))
-            block = column.flatten().to_numpy(zero_copy_only=False).astype(VALUE)
-            block = block.reshape(batch.num_rows, -1)
+            block = batch_matrix(column).astype(VALUE)
             width = width or block.shape[1]
             if block.shape[1] != width:
                 raise ValueError("all points need the same number of coordinates")
@@ -138,11 +171,18 @@ class PointsWriter(DataSourceArrowWriter):
         old = _data_files(self.path)
         if old and not self.overwrite:
             raise ValueError(f"{self.path} already holds points; write with mode('overwrite')")
+        run = uuid.uuid4().hex[:12]
+        kept = []
+        for name, rows, width in sorted(f for m in messages if m for f in m.files):
+            own = f"{name.rsplit('/', 1)[1].removesuffix('.bin')}-{run}.bin"
+            store.move(name, f"{where}/{own}")
+            kept.append((own, rows, width))
+        kept.sort()
+        with store.open_output_stream(f"{where}/{MANIFEST}-{run}") as sink:
+            sink.write(json.dumps(kept).encode())
+        store.move(f"{where}/{MANIFEST}-{run}", f"{where}/{MANIFEST}")
         for name in old:
             store.delete_file(name)
-        for message in messages:
-            for name in message.names if message else []:
-                store.move(name, f"{where}/{name.rsplit('/', 1)[1]}")
         self._drop_pending()
 
     def abort(self, messages: list[WrittenFiles | None]) -> None:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from corvane.operators import bow, lloyd, sampled_kmeans
 from corvane.operators.nearest import assign_by_expression, assign_clusters, nearest
+from corvane.sources import binary_points
 
 
 def point_table(spark, array):
@@ -180,25 +181,62 @@ def test_library_kmeans_finds_separated_groups(spark):
     model = sampled_kmeans.kmeans_ml(table, 4, 20)
     found = np.array([r["m"] for r in sampled_kmeans.ml_centres(table, model).collect()])
     assert (np.abs(found[:, None] - centres[None]).sum(axis=2).min(axis=0) < 1).all()
-    keyed = sampled_kmeans.images_by_cluster(table.withColumnRenamed("id", "key"), model)
+    keyed = sampled_kmeans.images_by_cluster(table.withColumnRenamed("id", "key"), np.array(model.clusterCenters()))
     assert keyed.groupBy("prediction").count().filter("count = 100").count() == 4
 
 
-def test_minibatch_visits_bounded_batches(spark):
-    _, x = separated(np.random.default_rng(9))
+def test_minibatch_uses_every_point_in_every_pass(spark):
+    _, x = separated(np.random.default_rng(9), 20_000)
     table = point_table(spark, x)
-    centres = sampled_kmeans.minibatch_kmeans(table, 4, max_iter=8, batch_rows=64)
-    assert centres.shape == (4, 2)
-    cost = assign_clusters(table, centres).agg(F.avg("d2")).first()[0]
-    start = assign_clusters(table, x[:4] * 0 + x.mean(axis=0)).agg(F.avg("d2")).first()[0]
-    assert cost < start
+    start = sampled_kmeans.minibatch_kmeans(table, 4, passes=0).centres
+    found = sampled_kmeans.minibatch_kmeans(table, 4, passes=2, batches_per_pass=5)
+    assert found.points == 20_000 and found.seen == 2 * 20_000 and found.centres.shape == (4, 2)
+    cost = [assign_clusters(table, c).agg(F.sum("d2")).first()[0] for c in (start, found.centres)]
+    assert cost[1] <= cost[0]
 
 
 def test_minibatch_does_not_depend_on_the_partitioning(spark):
     table = point_table(spark, np.random.default_rng(12).random((200, 2)))
-    one = sampled_kmeans.minibatch_kmeans(table, 3, max_iter=4, batch_rows=50)
-    two = sampled_kmeans.minibatch_kmeans(table.repartition(5), 3, max_iter=4, batch_rows=50)
-    assert np.allclose(one, two)
+    one = sampled_kmeans.minibatch_kmeans(table, 3, passes=2, batches_per_pass=3)
+    two = sampled_kmeans.minibatch_kmeans(table.repartition(5), 3, passes=2, batches_per_pass=3)
+    assert np.allclose(one.centres, two.centres) and one.seen == two.seen == 400
+
+
+def test_ragged_and_null_vectors_raise(spark, tmp_path):
+    for bad in ([[1.0, 2.0, 3.0], [4.0]], [[1.0, 2.0, 3.0, 4.0], None]):
+        table = spark.createDataFrame(list(enumerate(bad)), "id bigint, x array<double>").coalesce(1)
+        with pytest.raises(Exception, match="vector"):
+            assign_clusters(table, np.zeros((2, 2))).collect()
+        with pytest.raises(Exception, match="vector"):
+            lloyd.total_arrays(table, np.zeros((2, 2)))
+        with pytest.raises(Exception, match="vector"):
+            binary_points.write_binary_points(table, str(tmp_path / "bad"))
+
+
+@pytest.mark.parametrize("k", [2, 4, 8, 16, 32, 64, 128])
+def test_assignment_variants_agree(spark, k):
+    x = np.random.default_rng(k).random((400, 9))
+    table, centres = point_table(spark, x), x[:k]
+    whole = {r["id"]: r["cid"] for r in assign_clusters(table, centres).collect()}
+    sliced = {r["id"]: r["cid"] for r in assign_clusters(table, centres, slice_bytes=9 * 8 * 3).collect()}
+    in_jvm = {r["id"]: r["cid"] for r in assign_by_expression(table, centres).collect()}
+    assert whole == sliced == in_jvm
+
+
+def test_moved_points_are_counted_as_a_full_comparison_does(spark):
+    draw = np.random.default_rng(3)
+    x = draw.random((600, 3))
+    old, new = x[:20], x[:20] + draw.normal(0, 0.02, (20, 3))
+    n, changed, _ = lloyd.total_arrays(point_table(spark, x), new, old)
+    a = ((x[:, None] - old) ** 2).sum(axis=2).argmin(axis=1)
+    b = ((x[:, None] - new) ** 2).sum(axis=2).argmin(axis=1)
+    assert changed.sum() == (a != b).sum() > 0 and n.sum() == 600
+
+
+def test_large_codebooks_fill_histograms(spark):
+    words = spark.createDataFrame([("a", i, w) for i, w in enumerate([0, 9999, 9999, 5])], "image_id string, descriptor_id bigint, word int")
+    counts = bow.bow_histogram(words, 10_000).first()["counts"]
+    assert len(counts) == 10_000 and sum(counts) == 4 and (counts[0], counts[5], counts[9999]) == (1, 1, 2)
 
 
 def test_assignment_neither_shuffles_nor_grows_rows(spark, plan_text):

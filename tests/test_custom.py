@@ -12,18 +12,3 @@ def test_mapper_may_drop_and_multiply_rows(spark, rows):
         return pd.DataFrame({"word": tokens, "n": factor["times"]})
 
     assert rows(custom.map_rows(table, words, "word string, n bigint")) == [("a", 2), ("b", 2), ("c", 2)]
-
-
-def test_reducer_combines_before_the_shuffle(spark, rows, plan_text, monkeypatch):
-    table = spark.range(0, 3000, 1, 6).selectExpr("if(id % 3 = 0, 'hot', cast(id % 50 as string)) AS k", "1L AS n")
-
-    def add(batch):
-        return batch.groupby("k", as_index=False).agg({"n": "sum"})
-
-    reduced = custom.reduce_rows(table, ["k"], add)
-    expected = table.groupBy("k").sum("n")
-    assert rows(reduced) == rows(expected)
-    plan = plan_text(reduced)
-    assert plan.index("FlatMapGroupsInPandas") < plan.index("Exchange") < plan.index("MapInPandas")
-    monkeypatch.setattr(custom, "HELD_ROWS", 3)
-    assert rows(custom.reduce_rows(table, ["k"], add)) == rows(expected)

@@ -21,8 +21,6 @@ def posts(tmp_path):
 def test_similarity_job(spark, posts, tmp_path):
     jobs.tag_similarity_job(spark, posts, str(tmp_path / "out"))
     assert lines_of(spark, tmp_path / "out") == ["7\t#data\t#job"]
-    jobs.tag_similarity_job(spark, posts, str(tmp_path / "out"), include_zero=True)
-    assert sorted(lines_of(spark, tmp_path / "out")) == ["0\t#cat\t#data", "0\t#cat\t#job", "7\t#data\t#job"]
 
 
 def test_ngram_job(spark, posts, tmp_path):

@@ -53,9 +53,6 @@ def test_repeated_tags_and_words_multiply(spark, rows):
 
 def test_similarity(counts, rows):
     assert rows(tags.tag_similarity(counts), "a", "b", "similarity") == [("#data", "#job", 7)]
-    assert rows(tags.tag_similarity_all(counts), "a", "b", "similarity") == [
-        ("#cat", "#data", 0), ("#cat", "#job", 0), ("#data", "#job", 7)
-    ]
     assert rows(tags.tag_similarity_to(counts, "#job"), "tag", "similarity") == [("#data", 7), ("#job", 11)]
 
 
@@ -66,19 +63,29 @@ def test_one_tag_filter_equals_filtered_counts(spark, counts, rows):
 
 
 def test_vectors_encode_and_decode(counts, rows):
-    encoded = tags.encode_vectors(counts, "tag", "word")
+    encoded = tags.encode_vectors(counts, "tag", "word", segments=1)
     assert ("#job", 0, "engineer:1;hiring:1;spark:3") in rows(encoded, "tag", "segment", "vector")
     assert rows(tags.decode_vectors(encoded, "tag", "word")) == rows(counts, "tag", "word", "cnt")
 
 
 def test_long_vectors_are_cut_and_stay_whole(skewed, rows):
     _, counts = skewed
-    encoded = tags.encode_vectors(counts, "word", "tag", segment_features=8)
+    encoded = tags.encode_vectors(counts, "word", "tag", segments=8)
     hub = encoded.filter("word = 'hub'").collect()
-    assert len(hub) > 4
+    assert len(hub) > 4 and {r["segment"] for r in encoded.collect()} <= set(range(8))
     assert rows(tags.decode_vectors(encoded, "word", "tag"), "word", "tag", "cnt") == rows(counts, "word", "tag", "cnt")
 
 
+def test_decode_splits_at_the_last_colon(spark):
+    got = spark.range(1).select(encoding.decode_vector(F.lit("a:b:3;:1;c:2")).alias("m")).first()["m"]
+    assert got == {"a:b": 3, "": 1, "c": 2}
+
+
+def test_keys_with_colons_come_back(spark, rows):
+    table = spark.createDataFrame([("k", "a:b", 3), ("k", "a", 1), ("k", ":", 2)], "key string, feature string, cnt bigint")
+    assert rows(tags.decode_vectors(tags.encode_vectors(table, "key", "feature"), "key", "feature")) == rows(table)
+
+
 def test_decode_accepts_a_closing_separator(spark):
     got = spark.range(1).select(encoding.decode_vector(F.lit("a:1;b:20;")).alias("m")).first()["m"]
     assert got == {"a": 1, "b": 20}
@@ -95,8 +102,6 @@ def test_similarity_with_a_hub_word_equals_brute_force(skewed, rows, chunk_rows)
     expected = brute_similarity(table)
     got = rows(tags.tag_similarity(counts, chunk_rows), "a", "b", "similarity")
     assert got == sorted((a, b, s) for (a, b), s in expected.items() if s is not None)
-    every = rows(tags.tag_similarity_all(counts, chunk_rows), "a", "b", "similarity")
-    assert every == sorted((a, b, s or 0) for (a, b), s in expected.items())
 
 
 def test_hub_word_spreads_over_chunk_pairs(skewed):
@@ -139,12 +144,23 @@ def test_tag_plans_stay_in_the_jvm_and_combine_early(counts, plan_text):
     assert "partial_sum" in plan and "partial_count" in plan
 
 
-def test_all_pairs_use_equality_joins(counts, plan_text):
-    plan = plan_text(tags.tag_pairs_all(counts))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-
-
 def test_normaliser_runs_once_per_scan(spark, plan_text):
     """No inferred size() filter may repeat the normaliser below an explode."""
     table = spark.createDataFrame([(x,) for x in LINES], "line string")
     assert "Filter" not in plan_text(tags.tag_word_count(table)).split("== Initial Plan ==")[0]
+
+
+def test_lookup_of_a_hub_key_spreads_over_tasks(spark, rows):
+    """Without broadcasts, the rows of one key meet its lookup row in many tasks, and none is lost."""
+    hub = spark.range(20_000).select(F.lit("hub").alias("word"), F.col("id").cast("string").alias("tag"), F.lit(1).alias("cnt"))
+    table = spark.createDataFrame([("hub", 7), ("other", 8)], "word string, parts int")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        met = chunks.salted_lookup(hub, table, "word", "tag")
+        assert met.count() == 20_000 and met.filter("parts = 7").count() == 20_000
+        assert met.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
