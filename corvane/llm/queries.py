@@ -11,6 +11,7 @@ from corvane.llm import (
     language_id,
     minhash,
     mixing,
+    oracles,
     packing,
     quality_ranking,
     quality_rules,
@@ -141,4 +142,8 @@ def queries() -> dict[str, Builder]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_quality_rules": oracles.QUALITY_RULES,
+        "op9_mixing": oracles.MIXING,
+        "op10_token_rollup": oracles.token_rollup(WORDS_AND_MARKS, SPOKEN_WORDS),
+    }

@@ -1,0 +1,149 @@
+import numpy as np
+import pytest
+
+from corvane.llm import language_id, quality_ranking, url_filter
+
+WORDS = {
+    "en": "the of and to in that was for with from this have which not are one were".split(),
+    "fr": "le la les des une dans est pour que qui avec sur pas vous nous mais être".split(),
+    "de": "der die und das nicht ein eine zu den mit sich auf für ist dem auch über".split(),
+}
+
+
+def sentences(seed, n, lang):
+    draw = np.random.default_rng(seed)
+    return [" ".join(draw.choice(WORDS[lang], int(draw.integers(5, 40)))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rows = [(100 * k + i, t, lang, None, None) for k, lang in enumerate(WORDS) for i, t in enumerate(sentences(k, 60, lang))]
+    rows += [(999, None, "en", None, None), (998, "text without label", None, None, None), (997, "12 34", "de", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    return language_id.fit(docs, per_lang=50, landmarks=12)
+
+
+def test_held_out_language(model):
+    for k, lang in enumerate(WORDS):
+        names, scores = model.predict(sentences(50 + k, 80, lang))
+        assert np.mean([n == lang for n in names]) >= 0.97
+        assert all(0 <= s <= 1 for s in scores)
+
+
+def test_language_of_awkward_rows(model, awkward):
+    docs = awkward.withColumnRenamed("n_chars", "score")
+    got = language_id.predicted(docs, model).collect()
+    assert len(got) == 11
+    for r in got:
+        assert (r.lang_pred == "und") == (not language_id.has_letter(r.text)) and 0 <= r.score <= 1
+    assert all(r.score == 0 for r in got if r.lang_pred == "und")
+
+
+def test_language_without_labels(documents):
+    nothing = language_id.fit(documents((1, "abc", None), (2, None, "en")))
+    assert nothing.predict(["abc", None])[0] == ["und", "und"]
+    one = language_id.fit(documents((1, "abc def", "xx")))
+    assert one.predict(["abc", "zzz", "9"])[0] == ["xx", "xx", "und"]
+    assert language_id.predicted(documents(), one).collect() == []
+
+
+def test_kernel_of_a_landmark_with_itself_is_one(model):
+    sample = model.landmarks.astype(float)
+    assert np.allclose(sample.sum(axis=1), np.asarray(model.landmark_norm, dtype=float) ** 2)
+
+
+def test_grams_are_the_blended_spectrum():
+    grams = language_id.gram_numbers("Ab, c")
+    # " ab c " has 6 + 5 + 4 + 3 n-grams of 1 to 4 letters.
+    assert len(grams) == 18 and np.array_equal(grams, language_id.gram_numbers("aB c"))
+
+
+def junk(draw, n):
+    kinds = [
+        lambda: " ".join([draw.choice(WORDS["en"])] * n),
+        lambda: " ".join(w.upper() + "!!" for w in draw.choice(WORDS["en"], n)),
+        lambda: " ".join(w + "###" for w in draw.choice(WORDS["fr"], n)),
+    ]
+    return kinds[int(draw.integers(3))]()
+
+
+def test_ranking_separates_held_out_documents(spark, documents):
+    draw = np.random.default_rng(6)
+    texts = [(" ".join(draw.choice(WORDS["en"], 60)).capitalize() + ".", 1) for _ in range(150)] + [(junk(draw, 50), 0) for _ in range(60)]
+    rows = [(i, t) for i, (t, _) in enumerate(texts)]
+    labels = spark.createDataFrame([(i, q, 0) for i, (_, q) in enumerate(texts)] + [(None, 1, 0), (5, None, 0), (77_777, 0, 0)], "doc_id bigint, quality int, toxic int")
+    learn = documents(*[r for r in rows if r[0] % 4])
+    ranker = quality_ranking.fit(learn, labels)
+    held = documents(*[r for r in rows if not r[0] % 4]).withColumnRenamed("lang", "predicted")
+    got = quality_ranking.scored(held, ranker).collect()
+    assert np.mean([r.predicted == texts[r.doc_id][1] for r in got]) >= 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+
+
+def test_ranking_of_awkward_rows_and_missing_labels(spark, awkward, documents):
+    none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    flat = quality_ranking.fit(awkward, none)
+    got = quality_ranking.scored(awkward, flat).collect()
+    assert len(got) == 11 and all(r.score == 0.5 and r.predicted == 1 for r in got)
+    one_kind = spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int")
+    assert quality_ranking.scored(documents(), quality_ranking.fit(awkward, one_kind)).collect() == []
+    assert np.all(np.isfinite([quality_ranking.measures(t) for t in (None, "", " ", "a", "\U0001F600", "a" * 10**6)]))
+
+
+def test_bradley_terry_minimises_its_loss():
+    draw = np.random.default_rng(1)
+    d = draw.normal(size=(400, 3)) + [0.5, -0.2, 0]
+    w = quality_ranking.bradley_terry(d)
+    loss = lambda v: np.mean(np.log1p(np.exp(-d @ v))) + quality_ranking.PENALTY / 2 * v @ v
+    for step in np.vstack([np.eye(3), -np.eye(3)]) * 0.01:
+        assert loss(w) <= loss(w + step)
+
+
+PAGES = "page_id bigint, url string, html string"
+
+
+@pytest.mark.parametrize(("url", "host", "path", "rule"), [
+    ("http://WWW.Example.ORG/es/1?x", "www.example.org", "/es/1", "example.org/es/"),
+    ("https://example.org/en/12#a", "example.org", "/en/12", "example.org/en/1"),
+    ("http://a.org/b", "a.org", "/b", "org/"),
+    ("http://a.org", "a.org", "", None),
+    ("http://a.com/de", "a.com", "/de", None),
+    ("http://a.com/de/x", "a.com", "/de/x", "com/de/"),
+    ("http://xorg/", "xorg", "/", None),
+    ("http://org/", "org", "/", "org/"),
+    ("x://a://b/c", "a:", "//b/c", None),
+    ("http://É.net?q://z/", "É.net", "", None),
+    ("no scheme/de/", "", "", None), ("", "", "", None), (None, "", "", None), ("://", "", "", None),
+])
+def test_url_parts_and_rules(spark, url, host, path, rule):
+    pages = spark.createDataFrame([(1, url, None)], PAGES)
+    h, p = url_filter.host_and_path(pages.url)
+    parts = pages.select(h.alias("h"), p.alias("p"))
+    r, _ = url_filter.rule_columns(parts.h, parts.p)
+    assert tuple(parts.select("h", "p", r).first()) == (host, path, rule)
+
+
+def test_segmentation_takes_the_most_probable_words():
+    s = url_filter.Segmenter({"spam": 50, "farm": 40, "the": 900, "news": 80, "a": 500, "r": 1})
+    assert s.split("spamfarm") == ["spam", "farm"] and s.split("thenews") == ["the", "news"]
+    assert "".join(s.split("thexqznews")) == "thexqznews"
+    assert s.tokens("thenews.x9.com", "/Spam/12_3") == ["h:the", "h:news", "h:x", "h:0", "h:com", "p:spam", "p:0", "p:0"]
+    empty = url_filter.Segmenter({})
+    assert "".join(empty.split("abc")) == "abc"
+
+
+def test_unruled_urls_follow_their_tokens(spark):
+    rows = [(i, f"http://spamfarm{i}.com/de/{i}", "<p>spam farm</p>") for i in range(30)]
+    rows += [(100 + i, f"http://goodnews{i}.org/x/{i}", "<p>good news</p>") for i in range(30)]
+    rows += [(200, "http://spamfarm.net/q/1", None), (201, "http://goodnews.net/q/1", ""), (202, None, None), (203, "http://spamfarm.net/q/1", None)]
+    pages = spark.createDataFrame(rows, PAGES).withColumnRenamed("html", "html").selectExpr("*", "1 as host", "2 as verdict")
+    got = {r.page_id: r for r in url_filter.judged(pages).collect()}
+    assert len(got) == 64 and got[200].verdict == got[203].verdict == "block" and got[201].verdict == "allow"
+    assert got[200].rule is None and got[0].rule == "com/de/" and got[0].verdict == "block"
+    assert got[202].verdict in ("allow", "block") and got[202].host == ""
+
+
+def test_urls_without_any_rule_or_rows(spark):
+    one = url_filter.judged(spark.createDataFrame([(1, "http://a.net/", "<b>a</b>")], PAGES)).collect()
+    assert one[0].verdict == "allow"
+    assert url_filter.judged(spark.createDataFrame([], PAGES)).collect() == []
