@@ -11,21 +11,37 @@ import numpy as np
 
 #: White space that a library and Python may class differently; texts with any of it are encoded in one call.
 ODD_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \t\n\r"]
-#: Encodings kept per worker; about 200 bytes each.
-KEPT_WORDS = 800_000
+#: Encodings of a generation, of which a worker keeps two; about 200 bytes each.
+KEPT_WORDS = 400_000
 LONGEST_KEPT = 64
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 
 
 class _Words(dict):
-    """Encodings of pieces of text; a piece that is not held is encoded and not kept."""
+    """Encodings of pieces of text, in two generations.
+
+    When the young generation is full it becomes the old one, and words still
+    in use come back from there, so rare words go and frequent ones stay. A
+    piece in neither is encoded and not kept.
+    """
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        return self.encode(piece)
+        ids = self.old.get(piece)
+        if ids is None:
+            return self.encode(piece)
+        self[piece] = ids
+        return ids
+
+    def room(self, n: int) -> None:
+        """Makes room for ``n`` more pieces."""
+        if len(self) + n > KEPT_WORDS:
+            self.old = dict(self)
+            self.clear()
 
 
 class Encoder:
@@ -41,15 +57,29 @@ class Encoder:
 
     def __init__(self, path: str, spaces: str = "lead"):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
-        blank, rest = {"lead": (" ?", r"|\s+(?!\S)|\s"), "drop": ("", "")}[spaces]
-        self.cut = re.compile(
-            rf"{blank}[{LATIN}]+(?=[\s.,]|\Z)|[.,]+(?=\s|\Z)|{blank}\S+{rest}"
-        ).findall
+        if spaces == "lead":
+            self.cut = re.compile(
+                rf" ?[{LATIN}]+(?=[\s.,]|\Z)|[.,]+(?=\s|\Z)| ?\S+|\s+(?!\S)|\s"
+            ).findall
+        else:
+            self.cut = str.split
+        # Words of Latin letters are one pre-token each: the model takes them as they leave the library's own
+        # normaliser and byte alphabet, which are applied once per letter here.
+        normal = self.tokenizer.normalizer
+        bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [c for c in map(chr, range(0x100)) if re.match(f"[{LATIN}]", c)]
+        self.alphabet = {
+            ord(c): bytes_of.pre_tokenize_str(normal.normalize_str(c) if normal and c != " " else c)[0][0]
+            for c in [*letters, " "]
+        }
+        self.one_word = re.compile(rf" ?[{LATIN}]+\Z" if spaces == "lead" else rf"[{LATIN}]+\Z").match
+        self.model = self.tokenizer.model
+        self.ending = re.compile(rf"(?<=[{LATIN}])[.,]+\Z").search
         self.words = _Words(self.whole)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.marks = [*ODD_SPACE, *(t.content for t in added)]
@@ -68,18 +98,43 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, pieces))
 
     def learn(self, pieces: list[str]) -> None:
-        """Encodes the pieces not held, all in one call."""
-        held = self.words
-        new = [p for p in set(pieces) if p not in held and len(p) <= LONGEST_KEPT]
+        """Encodes the pieces not held, all in one call; a word with an end mark is put together from both."""
+        held, old = self.words, self.words.old
+        new = [p for p in set(pieces) if p not in held and p not in old and len(p) <= LONGEST_KEPT]
         if not new:
             return
-        if len(self.words) + len(new) > KEPT_WORDS:
-            self.words.clear()
-        found = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
+        held.room(2 * len(new))
+        joined, plain = [], set()
+        for piece in new:
+            mark = self.ending(piece) if piece[-1] in ".," else None
+            if mark:
+                parts = piece[: mark.start()], mark[0]
+                joined.append((piece, *parts))
+                plain.update(p for p in parts if p not in held and p not in held.old)
+            else:
+                plain.add(piece)
+        if plain:
+            self._encode_all(list(plain))
+        for piece, word, mark in joined:
+            held[piece] = held[word] + held[mark]
+
+    def _encode_all(self, pieces: list[str]) -> None:
+        rest = []
+        for piece in pieces:
+            if self.one_word(piece):
+                tokens = self.model.tokenize(piece.translate(self.alphabet))
+                self.words[piece] = np.array([t.id for t in tokens], dtype=self.dtype).tobytes()
+            else:
+                rest.append(piece)
+        if rest:
+            self._encode_rest(rest)
+
+    def _encode_rest(self, pieces: list[str]) -> None:
+        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
         ids = np.array(found.ids, dtype=self.dtype).tobytes()
-        sizes = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(new)) * self.width
+        sizes = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(pieces)) * self.width
         ends = np.cumsum(sizes).tolist()
-        for piece, start, end in zip(new, [0, *ends[:-1]], ends, strict=True):
+        for piece, start, end in zip(pieces, [0, *ends[:-1]], ends, strict=True):
             self.words[piece] = ids[start:end]
 
 
