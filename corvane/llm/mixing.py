@@ -84,6 +84,8 @@ def water_level(table: DataFrame, total: float) -> float:
 def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
     """``docs`` with ``size, source_size, target, whole, part``: repetitions in full, and words of one more.
 
+    Columns of those names are replaced.
+
     A source of any size is cut into 4096 hash buckets; running sums are taken
     inside buckets and added to the sums of the buckets before.
     """
@@ -99,10 +101,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, epochs: int = EP
         "__rest", F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("bigint")
     )
     drawn = Window.partitionBy("__source", "__bucket").orderBy("__draw", "size", "__tie").rowsBetween(Window.unboundedPreceding, -1)
-    running = sized(docs, seed).withColumn("__inside", F.coalesce(F.sum("size").over(drawn), F.lit(0)))
+    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "whole", "part")]
+    running = sized(docs.select(*kept), seed).withColumn("__inside", F.coalesce(F.sum("size").over(drawn), F.lit(0)))
     left = F.col("__rest") - F.col("__before") - F.col("__inside")
     part = F.least(F.greatest(left, F.lit(0)), F.col("size"))
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "whole", "part")]
     return running.join(plan, ["__source", "__bucket"]).withColumn("part", part).select(
         *kept, "size", "source_size", "target", "whole", "part"
     )
