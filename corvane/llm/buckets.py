@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from corvane.llm.common import tasks
 
-CHUNK = 2048
+CHUNK = 1024
+#: Pairs that one call of a comparison may hold.
+CALL_PAIRS = 4_000_000
 
 
 def met(slots: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -41,10 +43,17 @@ def runs(batches: Iterator[pa.RecordBatch], width: int, found: Callable[[np.ndar
     A group may go on in the next batch, so the last one is held back.
     """
 
-    def call(slot: np.ndarray, raw: np.ndarray) -> pa.RecordBatch:
+    def calls(slot: np.ndarray, raw: np.ndarray) -> Iterator[pa.RecordBatch]:
         number = np.cumsum(np.concatenate([[0], slot[1:] != slot[:-1]]))
-        alone = np.bincount(number)[number] == 1
-        return found(number[~alone], raw[~alone])
+        sizes = np.bincount(number)
+        alone = sizes[number] == 1
+        number, raw = number[~alone], raw[~alone]
+        # Whole groups only, as many at a time as the pairs allow.
+        pairs = np.where(sizes > 1, sizes.astype(np.int64) ** 2 // 2, 0)
+        call = (np.cumsum(pairs) // CALL_PAIRS)[number]
+        for one in np.unique(call):
+            mine = call == one
+            yield found(number[mine], raw[mine])
 
     held_slot, held = np.zeros(0, dtype=np.int64), np.zeros((0, width), dtype=np.uint8)
     for batch in batches:
@@ -55,26 +64,44 @@ def runs(batches: Iterator[pa.RecordBatch], width: int, found: Callable[[np.ndar
         held = np.concatenate([held, raw])
         cut = int(np.flatnonzero(slot != slot[-1])[-1]) + 1 if slot[0] != slot[-1] else 0
         if cut:
-            yield call(slot[:cut], held[:cut])
+            yield from calls(slot[:cut], held[:cut])
         held_slot, held = slot[cut:], held[cut:]
     if len(held):
-        yield call(held_slot, held)
-
-
-def spanning_edges(n: int, a: np.ndarray, b: np.ndarray, cost: np.ndarray) -> list[int]:
-    """Positions of the edges of a minimum spanning forest of ``n`` nodes."""
-    parent = list(range(n))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    kept = []
-    for i in np.argsort(cost, kind="stable").tolist():
-        x, y = root(int(a[i])), root(int(b[i]))
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            kept.append(i)
-    return kept
+        yield from calls(held_slot, held)
+
+
+def spanning_edges(n: int, a: np.ndarray, b: np.ndarray, cost: np.ndarray) -> np.ndarray:
+    """Positions of the edges of a minimum spanning forest of ``n`` nodes: every tree takes its cheapest edge, trees merge, again."""
+    order = np.argsort(cost, kind="stable")
+    a, b = a[order], b[order]
+    # From here on an edge's position is its rank, so costs are all different and no circle can close.
+    rank = np.arange(len(a))
+    tree = np.arange(n)
+    kept = [np.zeros(0, dtype=np.int64)]
+    while True:
+        x, y = tree[a[rank]], tree[b[rank]]
+        between = x != y
+        rank, x, y = rank[between], x[between], y[between]
+        if not len(rank):
+            return order[np.concatenate(kept)]
+        best = np.full(n, len(order))
+        np.minimum.at(best, x, rank)
+        np.minimum.at(best, y, rank)
+        chosen = np.unique(best[best < len(order)])
+        kept.append(chosen)
+        tree = merged(n, tree[a[chosen]], tree[b[chosen]])[tree]
+
+
+def merged(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The lowest index that each of ``n`` nodes reaches over the edges."""
+    low = np.arange(n)
+    while True:
+        # Roots are joined, never single nodes, so whatever points at a root moves with it.
+        x, y = low[a], low[b]
+        open_ = x != y
+        if not open_.any():
+            return low
+        a, b, x, y = a[open_], b[open_], x[open_], y[open_]
+        np.minimum.at(low, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(deeper := low[low], low):
+            low = deeper

@@ -217,7 +217,7 @@ def near_pairs(docs: DataFrame, similar: float = SIMILAR, words: int = WORDS, ba
 def spanning_forest(prints: np.ndarray, number: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Edges of a maximum spanning forest of the likenesses of ``least`` or more inside each run."""
     first, second, weight = [], [], []
-    left = np.arange(len(prints))
+    left = np.arange(len(prints), dtype=np.int32)
     step = 0
     while True:
         step += 1
@@ -228,7 +228,7 @@ def spanning_forest(prints: np.ndarray, number: np.ndarray, least: float) -> tup
         alike = np.mean(prints[left] == prints[left + step], axis=1)
         fits = alike >= least
         first.append(left[fits])
-        second.append(left[fits] + step)
+        second.append(left[fits] + np.int32(step))
         weight.append(alike[fits])
     if not first:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)

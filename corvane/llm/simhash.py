@@ -123,37 +123,24 @@ def pivot_table(prints: np.ndarray, seed: int = 11) -> np.ndarray:
 def near_pairs(prints: np.ndarray, runs: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Index pairs of near fingerprints with the same run number, and their distances; ``runs`` is sorted."""
     table = pivot_table(prints)
-    first, second, distance = ([np.zeros(0, dtype=np.int64)] for _ in range(3))
-    left = np.arange(len(prints))
+    first, second, distance = ([np.zeros(0, dtype=np.int32)] for _ in range(3))
+    left = np.arange(len(prints), dtype=np.int32)
     for step in itertools.count(1):
         left = left[left + step < len(prints)]
         left = left[runs[left] == runs[left + step]]
         if not len(left):
             return np.concatenate(first), np.concatenate(second), np.concatenate(distance)
-        a, b = left, left + step
+        a, b = left, left + np.int32(step)
         for column in range(PIVOTS):
             fits = np.abs(table[a, column] - table[b, column]) <= radius
             a, b = a[fits], b[fits]
-        apart = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1, dtype=np.int64)
+        apart = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1, dtype=np.int32)
         fits = apart <= radius
         first.append(a[fits])
         second.append(b[fits])
         distance.append(apart[fits])
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The lowest index that each of ``n`` nodes reaches."""
-    low = np.arange(n)
-    while len(a):
-        m = np.minimum(low[a], low[b])
-        np.minimum.at(low, a, m)
-        np.minimum.at(low, b, m)
-        low = low[low]
-        open_ = low[a] != low[b]
-        a, b = a[open_], b[open_]
-    return low[low]
-
-
 def links(classes: DataFrame, masks: np.ndarray, radius: int, bits: int, closest: bool = False) -> DataFrame:
     """``(a, b)`` edges between the distinct ``fp`` of ``classes``: their components are those of all near pairs.
 
@@ -181,7 +168,7 @@ def links(classes: DataFrame, masks: np.ndarray, radius: int, bits: int, closest
                 kept = buckets.spanning_edges(len(raw), a, b, apart)
                 a, b = a[kept], b[kept]
             else:
-                low = forest(len(raw), a, b)
+                low = buckets.merged(len(raw), a, b)
                 b = np.flatnonzero(low != np.arange(len(low)))
                 a = low[b]
             ends = [pa.array([raw[i].tobytes() for i in at], pa.binary()) for at in (a, b)]

@@ -199,3 +199,41 @@ def test_minhash_links_are_exact_and_complete(documents):
         groups.setdefault(i // 4, set()).update((i, j))
     assert got.count() == sum(map(len, groups.values()))
     assert got.select("root").distinct().count() == len(groups)
+
+
+def test_spanning_edges_equal_a_plain_forest():
+    draw = np.random.default_rng(4)
+    for n, m in [(1, 0), (5, 3), (30, 60), (40, 400)]:
+        a, b = draw.integers(0, n, m), draw.integers(0, n, m)
+        a, b = a[a != b], b[a != b]
+        cost = draw.integers(0, 6, len(a))
+        parent, want = list(range(n)), 0
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        trees = 0
+        for i in np.argsort(cost, kind="stable"):
+            x, y = root(a[i]), root(b[i])
+            if x != y:
+                parent[x] = y
+                want += cost[i]
+                trees += 1
+        kept = buckets.spanning_edges(n, a, b, cost)
+        low = buckets.merged(n, a[kept], b[kept])
+        assert len(kept) == trees and cost[kept].sum() == want
+        assert len(set(low.tolist())) == n - trees == len({root(x) for x in range(n)})
+
+
+def test_merged_chains_and_rings():
+    draw = np.random.default_rng(8)
+    order = draw.permutation(500)
+    a, b = order[:-1], order[1:]
+    assert (buckets.merged(500, a, b) == 0).all()
+    half = np.arange(500) % 2
+    keep = half[a] == half[b]
+    got = buckets.merged(500, a[keep], b[keep])
+    for i in range(500):
+        assert half[got[i]] == half[i] and got[i] <= i
