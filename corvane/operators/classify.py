@@ -89,9 +89,13 @@ def layer_weights(network) -> list[tuple[np.ndarray, np.ndarray]]:
 def embed_penultimate(model: PipelineModel, points: DataFrame, vector: str = "x") -> DataFrame:
     """``(id, embedding)``: activations of the last hidden layer."""
     scaler, network = model.stages
-    layers = layer_weights(network)[:-1]
     scaled = scaler.transform(points.select("id", _features(vector).alias("features")))
-    table = scaled.select("id", vector_to_array("scaled").alias("x"))
+    return forward(scaled.select("id", vector_to_array("scaled").alias("x")), layer_weights(network)[:-1])
+
+
+def forward(points: DataFrame, layers: list[tuple[np.ndarray, np.ndarray]], vector: str = "x") -> DataFrame:
+    """``(id, embedding)``: activations after the given layers, each a matrix and an offset before a sigmoid."""
+    table = points.select("id", vector)
     id_type = table.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -231,6 +232,40 @@ def embed_penultimate(spark, folder):
     return classify.embed_penultimate(_trained(spark, folder), points(spark, folder))
 
 
+# A small network whose weights follow a formula: 64 inputs, two sigmoid layers.
+FORWARD_LAYERS = (5, 3)
+
+
+def _weight(i: int, h: int) -> float:
+    return ((i * 7 + h * 3) % 11 - 5) / 10
+
+
+def _layer_sql(source: str, n: int) -> str:
+    return (
+        f"list_transform(range(0, {n}), lambda h: 1 / (1 + exp(-((h % 3 - 1) / 10e0 + list_sum(list_transform("
+        f"range(0, len({source})), lambda i: CAST({source}[i + 1] AS DOUBLE) * (((i * 7 + h * 3) % 11 - 5) / 10e0)))))))"
+    )
+
+
+@plan(
+    "network_forward",
+    f"WITH one AS (SELECT vec_id AS id, {_layer_sql('embedding', FORWARD_LAYERS[0])} AS a FROM embeddings WHERE embedding IS NOT NULL), "
+    f"two AS (SELECT id, {_layer_sql('a', FORWARD_LAYERS[1])} AS a FROM one) "
+    f"SELECT id, CAST(k - 1 AS INTEGER) AS pos, {rounded('v')} AS value "
+    "FROM (SELECT id, unnest(a) AS v, generate_subscripts(a, 1) AS k FROM two)",
+)
+def network_forward(spark, folder):
+    """The forward pass of the network, with weights that SQL can state."""
+    table, layers = points(spark, folder), []
+    width = len(table.select("x").head()[0])
+    for n in FORWARD_LAYERS:
+        matrix = np.array([[_weight(i, h) for h in range(n)] for i in range(width)])
+        layers.append((matrix, np.array([(h % 3 - 1) / 10 for h in range(n)])))
+        width = n
+    out = classify.forward(table, layers)
+    return out.select("id", F.posexplode("embedding").alias("pos", "v")).select("id", "pos", round6(F.col("v")).alias("value"))
+
+
 @plan(
     "model_roundtrip",
     f"SELECT count(*) AS points, CAST(0 AS BIGINT) AS other_class, CAST(0 AS DOUBLE) AS confidence_gap FROM (SELECT vec_id FROM embeddings WHERE embedding IS NOT NULL)",

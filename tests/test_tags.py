@@ -164,3 +164,13 @@ def test_lookup_of_a_hub_key_spreads_over_tasks(spark, rows):
     finally:
         for key, value in kept.items():
             spark.conf.set(key, value)
+
+
+def test_similarity_reads_its_text_once(spark, tmp_path):
+    """Every branch of a similarity shares one scan of the lines."""
+    spark.createDataFrame([(x,) for x in LINES], "line string").coalesce(1).write.parquet(str(tmp_path / "lines"))
+    for job in (tags.tag_similarity, lambda c: tags.tag_similarity_to(c, "#job")):
+        result = job(tags.tag_word_count(spark.read.parquet(str(tmp_path / "lines"))))
+        result.collect()
+        plan = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan parquet") == 1
