@@ -9,9 +9,10 @@ texts is scored by two matrix products: presence x landmarks, kernels x
 coefficients.
 
 Only n-grams seen in at least ``MIN_DF`` fitting texts are kept, the
-``MOST_GRAMS`` most frequent ones. At most ``PER_LANG`` texts of a language are
-used for fitting, the ones with the lowest hash of their id; statistics of the
-sample leave the executors as sets of n-gram numbers, never as texts.
+``MOST_GRAMS`` most frequent ones. At most ``PER_LANG`` texts of a language and
+``MOST_SAMPLE`` in all are used for fitting, the ones with the lowest hash of
+their id, from the ``MOST_LANGS`` most frequent languages; the sample leaves the
+executors as sets of n-gram numbers, never as texts.
 
 Null texts and texts without a letter are ``und`` with score 0. Without any
 labelled text every row is ``und``. Null labels are never learned.
@@ -33,6 +34,9 @@ GRAM_BITS = 20
 MIN_DF = 3
 MOST_GRAMS = 8192
 PER_LANG = 250
+#: Languages that are learned, the most frequent ones, and texts of the whole sample.
+MOST_LANGS = 200
+MOST_SAMPLE = 4000
 LANDMARKS_PER_LANG = 40
 RIDGE = 1e-2
 UNKNOWN = "und"
@@ -110,9 +114,11 @@ def fit_sample(labelled: DataFrame, per_lang: int = PER_LANG) -> list[tuple[str,
     below the share of its language. Rows of one id and text are drawn alike.
     """
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    top = usable.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MOST_LANGS)
+    counts = {r["lang"]: r["count"] for r in top.collect()}
     if not counts:
         return []
+    per_lang = min(per_lang, max(1, MOST_SAMPLE // len(counts)))
     share = F.element_at(F.create_map(*[
         F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.5 * per_lang / n))
     ]), F.col("lang"))
