@@ -255,7 +255,8 @@ def verified(docs: DataFrame, edges: DataFrame, words: int = WORDS) -> DataFrame
         return pd.Series(out, dtype="float64")
 
     ends = edges.select(F.col("a").alias("h")).union(edges.select("b")).distinct()
-    texts = docs.select("h", "text").join(ends, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
+    # Copies are combined inside their tasks before they move: one text may be a third of all rows.
+    texts = docs.groupBy("h").agg(F.first("text").alias("text")).join(ends, "h", "left_semi")
     sets = stored(texts.select("h", shingle_set("text").alias("set")), "minhash-sets")
     one = sets.select(F.col("h").alias("a"), F.col("set").alias("set_a"))
     two = sets.select(F.col("h").alias("b"), F.col("set").alias("set_b"))
