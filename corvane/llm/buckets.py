@@ -16,16 +16,18 @@ CHUNK = 1024
 CALL_PAIRS = 4_000_000
 
 
-def met(slots: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def met(slots: DataFrame, chunk: int = CHUNK, large: DataFrame | None = None) -> DataFrame:
     """``slot, item`` rows dealt so that any two items of a slot meet in some group, sorted by group.
 
     Slots above ``chunk`` rows are cut into chunks by a hash of the item, and
     chunks meet pairwise, each pair a group of its own. Only those slots are
-    listed, so the list is shorter than the rows by that factor.
+    listed, so the list is shorter than the rows by that factor. ``large`` gives
+    ``slot, chunks`` of the slots to cut where the number of rows does not decide.
     """
-    large = slots.groupBy("slot").count().filter(F.col("count") > chunk).select(
-        "slot", F.ceil(F.col("count") / chunk).cast("int").alias("chunks")
-    )
+    if large is None:
+        large = slots.groupBy("slot").count().filter(F.col("count") > chunk).select(
+            "slot", F.ceil(F.col("count") / chunk).cast("int").alias("chunks")
+        )
     own = F.pmod(F.xxhash64("item"), F.col("chunks")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(
         F.least(own, j).alias("i"), F.greatest(own, j).alias("j")
@@ -70,6 +72,24 @@ def runs(batches: Iterator[pa.RecordBatch], width: int, found: Callable[[np.ndar
         yield from calls(held_slot, held)
 
 
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """Sorted items of every group of two items or more; items may differ in width."""
+    slot, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        slots, items = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+        cuts = (np.flatnonzero(slots[1:] != slots[:-1]) + 1).tolist()
+        for start, stop in zip([0, *cuts], [*cuts, len(items)], strict=True):
+            if slots[start] != slot:
+                if len(held) > 1:
+                    yield sorted(held)
+                slot, held = slots[start], []
+            held += items[start:stop]
+    if len(held) > 1:
+        yield sorted(held)
+
+
 def spanning_edges(n: int, a: np.ndarray, b: np.ndarray, cost: np.ndarray) -> np.ndarray:
     """Positions of the edges of a minimum spanning forest of ``n`` nodes: every tree takes its cheapest edge, trees merge, again."""
     order = np.argsort(cost, kind="stable")

@@ -13,6 +13,7 @@ Null texts count as empty. Two texts without words have likeness 1.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,10 @@ PERMUTATIONS = 128
 BANDS = 32
 SIMILAR = 0.8
 BLOCK = 1024
+#: Chunks of shingle sets that meet: most bytes, and rows where tasks are free; rows of links in a batch.
+CHUNK_BYTES = 8 << 20
+SPREAD_CHUNK = 128
+LINK_ROWS = 10_000
 
 _BASE = 0x5851F42D4C957F2D
 _UNBASE = pow(_BASE, -1, 1 << 64)
@@ -261,3 +266,78 @@ def verified(docs: DataFrame, edges: DataFrame, words: int = WORDS) -> DataFrame
     one = sets.select(F.col("h").alias("a"), F.col("set").alias("set_a"))
     two = sets.select(F.col("h").alias("b"), F.col("set").alias("set_b"))
     return edges.join(one, "a").join(two, "b").select("a", "b", jaccard("set_a", "set_b").alias("jaccard"))
+
+
+def linked(docs: DataFrame, members: DataFrame, similar: float, words: int = WORDS) -> DataFrame:
+    """``(a, b, jaccard)`` links of ``similar`` or more that join what all such pairs inside a group join.
+
+    ``docs`` has the hash ``h`` of its text, ``members`` the ``slot`` of the
+    group of every ``h`` to compare. The shingle sets themselves meet, in
+    chunks where a group is large, and every pair of a group is compared unless
+    links already found join it. Nothing is discarded before the exact test.
+    """
+    hasher = Hasher(words)
+
+    @pandas_udf("binary")
+    def shingle_set(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(hasher.shingles(t)).astype("<u4").tobytes() for t in texts], dtype=object)
+
+    # Copies are combined inside their tasks before they move: one text may be a third of all rows.
+    texts = docs.groupBy("h").agg(F.first("text").alias("text")).join(members, "h")
+    item = F.concat(F.unhex(F.lpad(F.hex("h"), 16, "0")), shingle_set("text"))
+    sets = stored(texts.select("slot", item.alias("item")), "shingle-sets")
+    rows = F.count(F.lit(1))
+    chunks = F.greatest(
+        F.ceil(rows / buckets.CHUNK), F.ceil(F.sum(F.length("item")) / CHUNK_BYTES),
+        # Smaller chunks as long as their pairs are fewer than the tasks.
+        F.least(F.ceil(rows / SPREAD_CHUNK), F.lit(math.ceil(math.sqrt(2 * tasks(docs.sparkSession))))),
+    )
+    large = sets.groupBy("slot").agg(chunks.cast("int").alias("chunks")).filter("chunks > 1")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+        for items in buckets.groups(batches):
+            ids = np.frombuffer(b"".join(i[:8] for i in items), ">i8").astype(np.int64)
+            a, b, likeness_ = exact_links([np.frombuffer(i, "<u4", offset=8) for i in items], similar)
+            held.append((np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]), likeness_))
+            size += len(a)
+            if size >= LINK_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=["a", "b", "jaccard"])
+                held, size = [], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=["a", "b", "jaccard"])
+
+    return buckets.met(sets, large=large).mapInArrow(compare, "a bigint, b bigint, jaccard double").distinct()
+
+
+def exact_links(sets: list[np.ndarray], similar: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index pairs of ``similar`` or more and their Jaccard similarities; they join what all such pairs join."""
+    sizes = np.array([len(s) for s in sets])
+    known, places = np.unique(np.concatenate(sets), return_inverse=True)
+    places = np.split(places.astype(np.int32), np.cumsum(sizes)[:-1])
+    inside = np.zeros(len(known), dtype=bool)
+    tree = np.arange(len(sets))
+    first, second, found = ([np.zeros(0, dtype=t)] for t in (np.int64, np.int64, np.float64))
+    for one in range(len(sets) - 1):
+        rest = np.flatnonzero(tree[one + 1 :] != tree[one]) + one + 1
+        # No similarity is above the ratio of the sizes; two empty sets have 1.
+        low, high = np.minimum(sizes[rest], sizes[one]), np.maximum(sizes[rest], sizes[one])
+        rest = rest[np.where(high > 0, low / np.maximum(1, high), 1.0) >= similar]
+        if not len(rest):
+            continue
+        inside[places[one]] = True
+        common = np.concatenate([[0], np.cumsum(inside[np.concatenate([places[r] for r in rest])])])
+        inside[places[one]] = False
+        ends = np.cumsum(sizes[rest])
+        both = common[ends] - common[ends - sizes[rest]]
+        either = sizes[rest] + sizes[one] - both
+        jaccard = np.where(either > 0, both / np.maximum(1, either), 1.0)
+        fits = np.flatnonzero(jaccard >= similar)
+        # One link to every tree is enough.
+        fits = fits[np.unique(tree[rest[fits]], return_index=True)[1]]
+        first.append(np.full(len(fits), one))
+        second.append(rest[fits])
+        found.append(jaccard[fits])
+        tree[np.isin(tree, tree[rest[fits]])] = tree[one]
+    return np.concatenate(first), np.concatenate(second), np.concatenate(found)

@@ -141,12 +141,8 @@ def near_pairs(prints: np.ndarray, runs: np.ndarray, radius: int) -> tuple[np.nd
         distance.append(apart[fits])
 
 
-def links(classes: DataFrame, masks: np.ndarray, radius: int, bits: int, closest: bool = False) -> DataFrame:
-    """``(a, b)`` edges between the distinct ``fp`` of ``classes``: their components are those of all near pairs.
-
-    With ``closest`` every edge is itself a near pair, taken from the smallest
-    distances up, so that edges can be verified one by one afterwards.
-    """
+def links(classes: DataFrame, masks: np.ndarray, radius: int, bits: int) -> DataFrame:
+    """``(a, b)`` edges between the distinct ``fp`` of ``classes``: their components are those of all near pairs."""
     keyed_schema = pa.schema([("slot", pa.int64()), ("item", pa.binary())])
 
     def to_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,14 +159,10 @@ def links(classes: DataFrame, masks: np.ndarray, radius: int, bits: int, closest
 
     def to_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(number: np.ndarray, raw: np.ndarray) -> pa.RecordBatch:
-            a, b, apart = near_pairs(as_words(raw.tobytes(), bits), number, radius)
-            if closest:
-                kept = buckets.spanning_edges(len(raw), a, b, apart)
-                a, b = a[kept], b[kept]
-            else:
-                low = buckets.merged(len(raw), a, b)
-                b = np.flatnonzero(low != np.arange(len(low)))
-                a = low[b]
+            a, b, _ = near_pairs(as_words(raw.tobytes(), bits), number, radius)
+            low = buckets.merged(len(raw), a, b)
+            b = np.flatnonzero(low != np.arange(len(low)))
+            a = low[b]
             ends = [pa.array([raw[i].tobytes() for i in at], pa.binary()) for at in (a, b)]
             return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
 
@@ -187,33 +179,36 @@ def near_duplicates(
 
     ``component_id`` is the smallest doc_id reachable over near fingerprints;
     null ids reach others but are never the smallest, and a component without
-    any id gets null. ``root`` names the component. With ``similar``, a link
-    must also have that exact Jaccard similarity of shingle sets.
+    any id gets null. ``root`` names the component. With ``similar``, the
+    components of fingerprints are candidate groups only: distinct texts of a
+    group, also those of one fingerprint, are linked if their shingle sets have
+    that exact Jaccard similarity.
     """
     prints = stored(docs.select(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
         fingerprint_column(F.col("text"), words, bits).alias("fp"),
     ), "simhash")
-    classes = frozen(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.min("text_hash").alias("text")))
+    first_last = [F.min("text_hash").alias("text"), *([F.max("text_hash").alias("last")] if similar is not None else [])]
+    classes = frozen(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), *first_last))
     masks = block_masks(radius=radius, bits=bits) if masks is None else masks
-    edges = links(classes, masks, radius, bits, closest=similar is not None)
+    roots = components(links(classes, masks, radius, bits))
     key = "fp"
     if similar is not None:
-        key = "text"
-        ends = classes.select("fp", "text")
-        hashes = edges.join(ends.toDF("a", "one"), "a").join(ends.toDF("b", "two"), "b").select(
-            F.col("one").alias("a"), F.col("two").alias("b")
-        )
+        key = "text_hash"
+        groups = classes.join(roots, classes["fp"] == roots["node"], "left").filter(
+            F.col("root").isNotNull() | (F.col("text") != F.col("last"))
+        ).select("fp", F.coalesce("root", "fp").alias("slot"))
+        members = prints.select(F.col("text_hash").alias("h"), "fp").distinct().join(groups, "fp").select("h", "slot")
         hashed = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
-        edges = minhash.verified(hashed, stored(hashes, "simhash-links"), words).filter(F.col("jaccard") >= similar).select("a", "b")
-    roots = components(edges)
+        roots = components(minhash.linked(hashed, members, similar, words).select("a", "b"))
+        classes = prints.groupBy("text_hash").agg(F.min("doc_id").alias("low"))
     of_class = classes.join(roots, classes[key] == roots["node"], "left").select(
-        "fp", "low", F.coalesce("root", key).alias("root")
+        key, "low", F.coalesce("root", key).alias("root")
     )
     lowest = of_class.groupBy("root").agg(F.min("low").alias("component_id"))
     # Stored on its own, so the join with the rows may split a fingerprint that a third of them share.
-    named = frozen(of_class.join(lowest, "root").select("fp", "root", "component_id"))
-    return prints.join(named, "fp")
+    named = frozen(of_class.join(lowest, "root").select(key, "root", "component_id"))
+    return prints.join(named, key).select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def representatives(docs: DataFrame, found: DataFrame) -> DataFrame:

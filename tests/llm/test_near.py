@@ -237,3 +237,48 @@ def test_merged_chains_and_rings():
     got = buckets.merged(500, a[keep], b[keep])
     for i in range(500):
         assert half[got[i]] == half[i] and got[i] <= i
+
+
+def straddling(n, seed):
+    """Near copies of one text of 300 words whose similarities lie on both sides of 0.8, and their exact components."""
+    draw = random.Random(seed)
+    base = [f"w{draw.randrange(5000)}" for _ in range(300)]
+    texts = []
+    for i in range(n):
+        copy = list(base)
+        for at in draw.sample(range(300), draw.randint(3, 9)):
+            copy[at] = f"x{draw.randrange(10 ** 6)}"
+        texts.append(" ".join(copy))
+    sets = [frozenset(zip(*(words_of(t)[k:] for k in range(5)), strict=False)) for t in texts]
+    low = list(range(n))
+    for i in range(n):
+        for j in range(i):
+            if low[i] != low[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low = [min(low[i], low[j]) if x in (low[i], low[j]) else x for x in low]
+    return texts, low
+
+
+def test_wide_fingerprints_lose_no_link_of_a_large_group(documents):
+    texts, want = straddling(400, 21)
+    found = simhash.near_duplicates(documents(*enumerate(texts)), 5, 256, 54, simhash.drawn_masks(64, 18, 256), 0.8).collect()
+    assert 20 < len(set(want)) < 380
+    assert [r.component_id for r in sorted(found, key=lambda r: r.doc_id)] == want
+
+
+def test_exact_links_equal_brute_force():
+    draw = np.random.default_rng(3)
+    sets = [np.unique(draw.choice(60, draw.integers(0, 40))).astype("<u4") for _ in range(80)]
+    sets += [s[draw.random(len(s)) > 0.05] for s in sets] + sets[:40]
+    a, b, jaccard = minhash.exact_links(sets, 0.8)
+    exact = lambda x, y: len(np.intersect1d(x, y)) / len(np.union1d(x, y)) if len(x) or len(y) else 1.0
+    near = [(i, j) for j in range(200) for i in range(j) if exact(sets[i], sets[j]) >= 0.8]
+    assert set(zip(a.tolist(), b.tolist())) <= set(near) and len(near) > len(a) > 0
+    assert jaccard.tolist() == [exact(sets[i], sets[j]) for i, j in zip(a, b)]
+    assert (buckets.merged(200, a, b) == buckets.merged(200, *np.array(near).T)).all()
+
+
+def test_texts_of_one_fingerprint_are_linked_by_similarity_only(documents, monkeypatch):
+    monkeypatch.setattr(simhash, "fingerprint", lambda hashes, bits=64: bytes(bits // 8))
+    rows = [(1, "a b c d e f g h"), (2, "A b c d e f g H"), (3, "q r s t u v w x"), (4, None), (5, " ")]
+    found = simhash.near_duplicates(documents(*rows), 5, 256, 54, simhash.drawn_masks(64, 18, 256), 0.8).collect()
+    assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
