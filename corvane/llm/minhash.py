@@ -13,6 +13,7 @@ Null texts count as empty. Two texts without words have likeness 1.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -25,6 +26,7 @@ from pyspark.sql.functions import pandas_udf
 
 from corvane.llm import buckets
 from corvane.llm.common import key_buckets, stored, tasks
+from corvane.llm.components import components
 
 WORDS = 5
 PERMUTATIONS = 128
@@ -176,11 +178,11 @@ def compared(docs: DataFrame, words: int = WORDS, permutations: int = PERMUTATIO
 def near_pairs(docs: DataFrame, similar: float = SIMILAR, words: int = WORDS, bands: int = BANDS, slack: float = 0.1) -> DataFrame:
     """``(a, b, jaccard)``: links between distinct texts, given by hash, that are ``similar`` or more.
 
-    Signature bands meet in buckets. In a bucket, a maximum spanning forest of
-    the estimated likeness is kept: it connects the same texts at every
-    threshold as all pairs do, in fewer rows than the bucket has. Its edges are
-    verified by the exact Jaccard similarity of the shingle sets. Use
-    :func:`corvane.llm.components.components` for groups.
+    Signature bands meet in buckets, and pairs of an estimated likeness of
+    ``similar - slack`` or more join their texts to candidate groups. Inside a
+    group every pair is decided by its exact Jaccard similarity
+    (:func:`linked`), so the links join the same texts as all such pairs do, in
+    fewer rows. Use :func:`corvane.llm.components.components` for groups.
     """
     hasher = Hasher(words)
     width = 8 + 2 * PERMUTATIONS
@@ -207,65 +209,31 @@ def near_pairs(docs: DataFrame, similar: float = SIMILAR, words: int = WORDS, ba
         def found(number: np.ndarray, raw: np.ndarray) -> pa.RecordBatch:
             ids = raw[:, :8].copy().view(">i8").ravel().astype(np.int64)
             prints_ = raw[:, 8:].copy().view("<u2")
-            a, b = spanning_forest(prints_, number, similar - slack)
-            return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
+            low = buckets.merged(len(raw), *alike(prints_, number, similar - slack))
+            b = np.flatnonzero(low != np.arange(len(low)))
+            return pa.RecordBatch.from_arrays([pa.array(ids[low[b]]), pa.array(ids[b])], names=["a", "b"])
 
         return buckets.runs(batches, width, found)
 
     edges = buckets.met(rows).mapInArrow(link, "a bigint, b bigint").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     ).distinct()
-    edges = stored(edges, "minhash-links")
-    return verified(docs.withColumn("h", text_hash), edges, words).filter(F.col("jaccard") >= similar)
+    members = components(edges).select(F.col("node").alias("h"), F.col("root").alias("slot"))
+    return linked(docs.withColumn("h", text_hash), members, similar, words)
 
 
-def spanning_forest(prints: np.ndarray, number: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a maximum spanning forest of the likenesses of ``least`` or more inside each run."""
-    first, second, weight = [], [], []
+def alike(prints: np.ndarray, number: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs inside each run whose likeness is ``least`` or more."""
+    first, second = ([np.zeros(0, dtype=np.int32)] for _ in range(2))
     left = np.arange(len(prints), dtype=np.int32)
-    step = 0
-    while True:
-        step += 1
+    for step in itertools.count(1):
         left = left[left + step < len(prints)]
         left = left[number[left] == number[left + step]]
         if not len(left):
-            break
-        alike = np.mean(prints[left] == prints[left + step], axis=1)
-        fits = alike >= least
+            return np.concatenate(first), np.concatenate(second)
+        fits = np.mean(prints[left] == prints[left + step], axis=1) >= least
         first.append(left[fits])
         second.append(left[fits] + np.int32(step))
-        weight.append(alike[fits])
-    if not first:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    a, b = np.concatenate(first), np.concatenate(second)
-    kept = buckets.spanning_edges(len(prints), a, b, -np.concatenate(weight))
-    return a[kept], b[kept]
-
-
-def verified(docs: DataFrame, edges: DataFrame, words: int = WORDS) -> DataFrame:
-    """Adds the exact ``jaccard`` of the shingle sets of the texts with hashes ``a`` and ``b``."""
-    hasher = Hasher(words)
-
-    @pandas_udf("binary")
-    def shingle_set(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(hasher.shingles(t)).astype("<u4").tobytes() for t in texts], dtype=object)
-
-    @pandas_udf("double")
-    def jaccard(one: pd.Series, two: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(one, two, strict=True):
-            x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(both / max(1, len(x) + len(y) - both) if len(x) or len(y) else 1.0)
-        return pd.Series(out, dtype="float64")
-
-    ends = edges.select(F.col("a").alias("h")).union(edges.select("b")).distinct()
-    # Copies are combined inside their tasks before they move: one text may be a third of all rows.
-    texts = docs.groupBy("h").agg(F.first("text").alias("text")).join(ends, "h", "left_semi")
-    sets = stored(texts.select("h", shingle_set("text").alias("set")), "minhash-sets")
-    one = sets.select(F.col("h").alias("a"), F.col("set").alias("set_a"))
-    two = sets.select(F.col("h").alias("b"), F.col("set").alias("set_b"))
-    return edges.join(one, "a").join(two, "b").select("a", "b", jaccard("set_a", "set_b").alias("jaccard"))
 
 
 def linked(docs: DataFrame, members: DataFrame, similar: float, words: int = WORDS) -> DataFrame:

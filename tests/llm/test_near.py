@@ -265,6 +265,18 @@ def test_wide_fingerprints_lose_no_link_of_a_large_group(documents):
     assert [r.component_id for r in sorted(found, key=lambda r: r.doc_id)] == want
 
 
+def test_minhash_loses_no_link_of_a_large_group(documents):
+    texts, want = straddling(400, 22)
+    docs = documents(*enumerate(texts))
+    hashes = {r.h: r.doc_id for r in docs.selectExpr("xxhash64(text) h", "doc_id").collect()}
+    low = list(range(400))
+    for r in minhash.near_pairs(docs).collect():
+        i, j = low[hashes[r.a]], low[hashes[r.b]]
+        low = [min(i, j) if x in (i, j) else x for x in low]
+        assert r.jaccard >= 0.8
+    assert 20 < len(set(want)) < 380 and low == want
+
+
 def test_exact_links_equal_brute_force():
     draw = np.random.default_rng(3)
     sets = [np.unique(draw.choice(60, draw.integers(0, 40))).astype("<u4") for _ in range(80)]
