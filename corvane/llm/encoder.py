@@ -6,6 +6,7 @@ import os
 import re
 import sys
 import types
+from array import array
 
 import numpy as np
 
@@ -17,12 +18,17 @@ LONGEST_KEPT = 64
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 
 
+#: Marks that end a word of letters in a pre-token of their own. An apostrophe is none: it may open a contraction.
+ENDING = r"[!-&(-/:-@\[-`{-~]+"
+
+
 class _Words(dict):
     """Encodings of pieces of text, in two generations.
 
-    When the young generation is full it becomes the old one, and words still
-    in use come back from there, so rare words go and frequent ones stay. A
-    piece in neither is encoded and not kept.
+    A piece in neither is encoded when it is looked up; ``encode`` also says
+    whether to keep it. When the young generation is full it becomes the old
+    one, and words still in use come back from there, so rare words go and
+    frequent ones stay.
     """
 
     def __init__(self, encode):
@@ -33,15 +39,14 @@ class _Words(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            return self.encode(piece)
-        self[piece] = ids
-        return ids
-
-    def room(self, n: int) -> None:
-        """Makes room for ``n`` more pieces."""
-        if len(self) + n > KEPT_WORDS:
+            ids, keep = self.encode(piece)
+            if not keep:
+                return ids
+        if len(self) >= KEPT_WORDS:
             self.old = dict(self)
             self.clear()
+        self[piece] = ids
+        return ids
 
 
 class Encoder:
@@ -50,9 +55,9 @@ class Encoder:
     ``spaces`` says what the tokenizer does with white space: ``"lead"`` puts
     one blank before a word into the word's first token and keeps the rest;
     ``"drop"`` throws white space away. Texts are cut at white space, and
-    between a letter and full stops or commas that end a word; no token spans
-    such a cut, so joined encodings equal the encoding of the whole text.
-    Texts with odd white space or special token strings are never cut.
+    between a letter and the marks that end a word; no token spans such a cut,
+    so joined encodings equal the encoding of the whole text. Texts with odd
+    white space or special token strings are never cut.
     """
 
     def __init__(self, path: str, spaces: str = "lead"):
@@ -62,12 +67,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
-        if spaces == "lead":
-            self.cut = re.compile(
-                rf" ?[{LATIN}]+(?=[\s.,]|\Z)|[.,]+(?=\s|\Z)| ?\S+|\s+(?!\S)|\s"
-            ).findall
-        else:
-            self.cut = str.split
+        self.code = "H" if self.width == 2 else "I"
+        self.encode_cut = self._encode_lead if spaces == "lead" else self._encode_drop
         # Words of Latin letters are one pre-token each: the model takes them as they leave the library's own
         # normaliser and byte alphabet, which are applied once per letter here.
         normal = self.tokenizer.normalizer
@@ -77,10 +78,12 @@ class Encoder:
             ord(c): bytes_of.pre_tokenize_str(normal.normalize_str(c) if normal and c != " " else c)[0][0]
             for c in [*letters, " "]
         }
-        self.one_word = re.compile(rf" ?[{LATIN}]+\Z" if spaces == "lead" else rf"[{LATIN}]+\Z").match
+        self.word_and_marks = re.compile(rf"([{LATIN}]+)({ENDING})?\Z").match
+        self.lead_pieces = re.compile(rf" ?[{LATIN}]+(?=[\s.,]|\Z)|[.,]+(?=\s|\Z)| ?\S+|\s+(?!\S)|\s").findall
         self.model = self.tokenizer.model
-        self.ending = re.compile(rf"(?<=[{LATIN}])[.,]+\Z").search
-        self.words = _Words(self.whole)
+        self.bare = _Words(self._encode_bare)
+        #: Words by themselves, encoded with one blank before them.
+        self.after_blank = _Words(self._encode_after_blank)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.marks = [*ODD_SPACE, *(t.content for t in added)]
 
@@ -93,49 +96,46 @@ class Encoder:
             return b""
         if any(mark in text for mark in self.marks):
             return self.whole(text)
-        pieces = self.cut(text)
-        self.learn(pieces)
-        return b"".join(map(self.words.__getitem__, pieces))
-
-    def learn(self, pieces: list[str]) -> None:
-        """Encodes the pieces not held, all in one call; a word with an end mark is put together from both."""
-        held, old = self.words, self.words.old
-        new = [p for p in set(pieces) if p not in held and p not in old and len(p) <= LONGEST_KEPT]
-        if not new:
-            return
-        held.room(2 * len(new))
-        joined, plain = [], set()
-        for piece in new:
-            mark = self.ending(piece) if piece[-1] in ".," else None
-            if mark:
-                parts = piece[: mark.start()], mark[0]
-                joined.append((piece, *parts))
-                plain.update(p for p in parts if p not in held and p not in held.old)
-            else:
-                plain.add(piece)
-        if plain:
-            self._encode_all(list(plain))
-        for piece, word, mark in joined:
-            held[piece] = held[word] + held[mark]
-
-    def _encode_all(self, pieces: list[str]) -> None:
-        rest = []
-        for piece in pieces:
-            if self.one_word(piece):
-                tokens = self.model.tokenize(piece.translate(self.alphabet))
-                self.words[piece] = np.array([t.id for t in tokens], dtype=self.dtype).tobytes()
-            else:
-                rest.append(piece)
-        if rest:
-            self._encode_rest(rest)
-
-    def _encode_rest(self, pieces: list[str]) -> None:
-        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, dtype=self.dtype).tobytes()
-        sizes = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(pieces)) * self.width
-        ends = np.cumsum(sizes).tolist()
-        for piece, start, end in zip(pieces, [0, *ends[:-1]], ends, strict=True):
-            self.words[piece] = ids[start:end]
+        return self.encode_cut(text)
+
+    def _encode_drop(self, text: str) -> bytes:
+        return b"".join(map(self.bare.__getitem__, text.split()))
+
+    def _encode_lead(self, text: str) -> bytes:
+        # A blank opens a pre-token unless it stands inside a run of white space.
+        if any(run in text for run in ("  ", "\n ", "\t ", "\r ")):
+            return self._encode_spaced(text)
+        first, *rest = text.split(" ")
+        return self._encode_spaced(first) + b"".join(map(self.after_blank.__getitem__, rest))
+
+    def _encode_spaced(self, text: str) -> bytes:
+        """Ids of a text with white space of any kind."""
+        return b"".join([
+            self.after_blank[p[1:]] if p[0] == " " and p[1:2].strip() else self.bare[p] for p in self.lead_pieces(text)
+        ])
+
+    def _encode_bare(self, piece: str) -> tuple[bytes, bool]:
+        found = self.word_and_marks(piece)
+        return self._of_parts(self.bare, "", *found.groups()) if found else (self.whole(piece), len(piece) <= LONGEST_KEPT)
+
+    def _encode_after_blank(self, piece: str) -> tuple[bytes, bool]:
+        found = self.word_and_marks(piece)
+        if found:
+            return self._of_parts(self.after_blank, " ", *found.groups())
+        if not piece or any(c in piece for c in "\n\t\r"):
+            # Words that a line break joins are held one by one.
+            return self._encode_spaced(" " + piece) if piece else self.bare[" "], False
+        return self.whole(" " + piece), len(piece) <= LONGEST_KEPT
+
+    def _of_parts(self, held: _Words, blank: str, word: str, marks: str | None) -> tuple[bytes, bool]:
+        """Ids of a word and the marks at its end; the two together are kept once the word has been seen before."""
+        if marks:
+            seen = word in held
+            return held[word] + self.bare[marks], seen
+        return self._of_letters(blank + word), len(word) <= LONGEST_KEPT
+
+    def _of_letters(self, word: str) -> bytes:
+        return array(self.code, [t.id for t in self.model.tokenize(word.translate(self.alphabet))]).tobytes()
 
 
 def encoder(path: str, spaces: str = "lead") -> Encoder:
