@@ -29,7 +29,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written below the shared folder and read back: no lineage, any executor can read it."""
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes the files of frames from :func:`stored` that nothing will read again."""
+    for frame in frames:
+        jvm = frame.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+        path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def tasks(spark: SparkSession) -> int:

@@ -129,6 +129,36 @@ def test_components_of_a_long_chain_and_a_star(spark):
     got = {r.node: r.root for r in components.components(edges).collect()}
     assert got == {i: 0 for i in range(61)} | {i: 1000 for i in range(1000, 1100)}
     assert components.components(edges.limit(0)).collect() == []
+    nulls = spark.createDataFrame([(None, 1), (2, None), (4, 3)], "a bigint, b bigint")
+    assert {tuple(r) for r in components.components(nulls).collect()} == {(3, 3), (4, 3)}
+
+
+@pytest.mark.parametrize("shape", ["sorted chain", "random", "two hubs"])
+def test_components_take_few_rounds(spark, shape):
+    n = 10_000
+    ids = spark.range(n)
+    if shape == "sorted chain":
+        edges = ids.selectExpr("id AS a", "id + 1 AS b")
+        want = n + 1, 1
+    elif shape == "random":
+        edges = ids.selectExpr("id AS a", f"pmod(xxhash64(id), {n}) AS b")
+        want = None
+    else:
+        edges = ids.selectExpr("pmod(id, 2) - 2 AS a", "id AS b").union(spark.createDataFrame([(-1, -2)], "a bigint, b bigint"))
+        want = n + 2, 1
+    found, rounds = components.contracted(edges)
+    # The estimate that joins multiply is that of written files, however many rounds there were.
+    size = found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert rounds <= 20 and int(str(size)).bit_length() <= 64
+    got = {r.node: r.root for r in found.collect()}
+    if want:
+        assert (len(got), len(set(got.values()))) == want
+    pairs = [tuple(r) for r in edges.collect()]
+    nodes = sorted({x for p in pairs for x in p})
+    at = {x: i for i, x in enumerate(nodes)}
+    a, b = (np.array([at[p[i]] for p in pairs]) for i in (0, 1))
+    low = buckets.merged(len(nodes), a, b)
+    assert got == {x: nodes[low[i]] for i, x in enumerate(nodes)}
 
 
 def test_minhash_rows_follow_the_contract(documents, awkward):
