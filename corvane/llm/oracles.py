@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corvane.llm import mixing, quality_rules
+from corvane.llm import collocations, mixing, quality_rules
 
 WORD = r"'[^\x20\x09-\x0D]+'"
 SPACE_RUN = r"'[\x20\x09-\x0D]+'"
@@ -73,6 +73,61 @@ laid AS (
 SELECT doc_id, size, source_size, target, CAST(whole * size + least(greatest(rest - before, 0), size) AS BIGINT) AS taken FROM laid
 """
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+COLLOCATIONS = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest(range(1, {collocations.ORDER + 1})) AS k)
+        WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY lang, k, phrase HAVING count(*) >= {collocations.LEAST}),
+cuts AS (
+  SELECT lang, k, phrase, a, cut, array_to_string(string_split(phrase, ' ')[1 : cut], ' ') AS one,
+         array_to_string(string_split(phrase, ' ')[cut + 1 :], ' ') AS two
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k > 1)),
+s AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, n.n,
+         CAST(CAST(1000 AS HUGEINT) * c.a * n.n // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score, cut
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = one JOIN f y ON y.lang = c.lang AND y.phrase = two JOIN n ON n.lang = c.lang),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+kept AS (
+  SELECT * FROM low WHERE NOT EXISTS (
+    SELECT 1 FROM (
+      SELECT lang, a, array_to_string(string_split(phrase, ' ')[i : i + m - 1], ' ') AS held
+      FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM f WHERE k > 2))) z
+    WHERE z.lang = low.lang AND z.held = low.phrase AND 100 * z.a >= 100 * low.a))
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+WHERE rank <= {collocations.MOST}
+"""
+
+FILL_IN_MIDDLE = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex
+  FROM documents),
+h AS (
+  SELECT *, [CAST('0x' || hex[8 * i + 1 : 8 * i + 8] AS BIGINT) FOR i IN range(0, 4)] AS h FROM d),
+f AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS low, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+              WHEN 'psm' THEN '<P>' || substr(text, 1, low) || '<S>' || substr(text, high + 1) || '<M>' || substr(text, low + 1, high - low)
+              ELSE '<S>' || substr(text, high + 1) || '<P>' || substr(text, 1, low) || '<M>' || substr(text, low + 1, high - low) END
+       ) AS output_sha256, sha256(text) AS restored_sha256
+FROM f
+"""
+
 
 def token_rollup(words_and_marks: str, spoken: str) -> str:
     count = lambda pattern: f"CAST(len(regexp_extract_all(coalesce(text, ''), '{pattern}')) AS BIGINT)"

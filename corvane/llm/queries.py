@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import (
+    collocations,
+    fill_in_middle,
     language_id,
     minhash,
     mixing,
@@ -18,6 +20,7 @@ from corvane.llm import (
     simhash,
     token_files,
     token_rollup,
+    two_fit,
     url_filter,
 )
 from corvane.llm.common import load, stored, word_count
@@ -126,6 +129,25 @@ def op10_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return token_rollup.totals(spark, store)
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 best phrases of every language."""
+    return collocations.collocations(load(spark, folder, "documents"))
+
+
+def op12_two_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 ids; only longer documents are cut."""
+    pieces = two_fit.pack(load(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=0)
+    return pieces.select(
+        "doc_id", "piece", "start", "length", packing.crc32(F.col("ids"), F.col("width")).alias("ids_crc32"),
+        "sequence_id", "offset",
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Form, cuts and digests of every document rearranged for filling in the middle."""
+    return fill_in_middle.digests(load(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Builder]:
     return {
         "op1_language_id": op1_language_id,
@@ -138,6 +160,9 @@ def queries() -> dict[str, Builder]:
         "op8_packing": op8_packing,
         "op9_mixing": op9_mixing,
         "op10_token_rollup": op10_token_rollup,
+        "op11_collocations": op11_collocations,
+        "op12_two_fit": op12_two_fit,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
@@ -146,4 +171,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_quality_rules": oracles.QUALITY_RULES,
         "op9_mixing": oracles.MIXING,
         "op10_token_rollup": oracles.token_rollup(WORDS_AND_MARKS, SPOKEN_WORDS),
+        "op11_collocations": oracles.COLLOCATIONS,
+        "op13_fill_in_middle": oracles.FILL_IN_MIDDLE,
     }
