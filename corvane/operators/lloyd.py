@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.operators.nearest import (
-    SLICE_BYTES, assign_clusters, batch_matrix, centre_slices, nearest, nearest_margin, sent_to_tasks,
+    SLICE_BYTES, assign_clusters, batch_matrix, centre_slices, nearest, nearest_margin, searched, sent_to_tasks,
 )
 
 # Partial sums of all tasks that may go to the driver without a shuffle.
@@ -71,7 +71,7 @@ def partial_totals(points: DataFrame, centres: np.ndarray, previous: np.ndarray
     arrays = [np.ascontiguousarray(c, dtype=np.float64) for c in (centres, previous) if c is not None]
     if any(len(centre_slices(c, slice_bytes)) > 1 for c in arrays):
         return None
-    sent = sent_to_tasks(points.sparkSession, arrays, sum(c.nbytes for c in arrays))
+    sent = sent_to_tasks(points.sparkSession, [searched(arrays[0]), *arrays[1:]], sum(c.nbytes for c in arrays))
     return points.select("x").mapInArrow(_partial_sums(sent), PARTIAL_SCHEMA)
 
 
@@ -185,7 +185,8 @@ def _assigned_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _partial_sums(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, *previous = sent.value
+        search, *previous = sent.value
+        centres = getattr(search, "centres", search)
         n = np.zeros(len(centres), dtype=np.int64)
         changed = np.zeros(len(centres), dtype=np.int64)
         sums = np.zeros(centres.shape)
@@ -196,7 +197,7 @@ def _partial_sums(sent):
             if not batch.num_rows:
                 continue
             x = batch_matrix(batch.column(0))
-            cid, margin = nearest_margin(x, centres)
+            cid, margin = nearest_margin(x, search)
             if previous:
                 open_ = np.flatnonzero(margin <= reach * (1 + 1e-9) + 1e-9)
                 was = nearest(x[open_], previous[0], measure=False)[0] if len(open_) else cid[:0]

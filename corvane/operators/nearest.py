@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corvane.functions import vectors
+from corvane.operators.centre_tree import CentreTree
 
 # A centre table above this is sent in slices, one pass over the points each.
 SLICE_BYTES = 64 << 20
@@ -20,6 +21,8 @@ INLINE_BYTES = 1 << 18
 # Cells of one distance matrix: small enough to stay in a core's cache.
 BLOCK_CELLS = 1 << 17
 MIN_BLOCK_ROWS = 64
+# From so many centres on a tree over them is searched.
+TREE_CENTRES = 512
 
 
 def batch_matrix(column: pa.Array) -> np.ndarray:
@@ -44,18 +47,31 @@ def exact_sq_distance(x: np.ndarray, m: np.ndarray) -> np.ndarray:
     return total
 
 
-def nearest(x: np.ndarray, centres: np.ndarray, measure: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
+def searched(centres: np.ndarray) -> np.ndarray | CentreTree:
+    """What tasks search: a tree over many centres, few as they are."""
+    return CentreTree(centres) if len(centres) >= TREE_CENTRES else centres
+
+
+def nearest(x: np.ndarray, centres: np.ndarray | CentreTree, measure: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
     """``(index, squared distance)`` per row; the lowest index wins a tie."""
-    index, _ = nearest_margin(x, centres)
+    if isinstance(centres, CentreTree):
+        tree, centres = centres, centres.centres
+        index = nearest_margin(x, centres)[0] if tree.plain else tree.search(x)[0]
+    else:
+        index, _ = nearest_margin(x, centres)
     return index, exact_sq_distance(x, centres[index]) if measure else None
 
 
-def nearest_margin(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def nearest_margin(x: np.ndarray, centres: np.ndarray | CentreTree) -> tuple[np.ndarray, np.ndarray]:
     """``(index, margin)`` per row: how much farther the second centre is than the nearest, 0 if in doubt.
 
     A matrix product ranks the centres up to rounding. Only rows whose second
     best centre is that close are measured exactly against all such centres.
     """
+    if isinstance(centres, CentreTree):
+        if not centres.plain:
+            return centres.search(x, margin=True)
+        centres = centres.centres
     if x.shape[1] != centres.shape[1]:
         raise ValueError(f"points have {x.shape[1]} coordinates, centres {centres.shape[1]}")
     index = np.zeros(len(x), dtype=np.int32)
@@ -128,7 +144,7 @@ def assign_clusters(
         needed = keep_vector or first != slices[-1][0]
         carried = [c for c in points.columns if needed or c != vector]
         schema = T.StructType([points.schema[c] for c in carried] + found)
-        sent = sent_to_tasks(points.sparkSession, part, part.nbytes)
+        sent = sent_to_tasks(points.sparkSession, searched(part), part.nbytes)
         out = out.mapInArrow(_better_of(sent, first, vector, name, dist, carried), schema)
     return out
 
