@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from corvane.operators.nearest import (
     SLICE_BYTES, assign_clusters, batch_matrix, centre_slices, nearest, nearest_margin, searched, sent_to_tasks,
 )
+from corvane.operators.step_log import Step, StepLog
 
 # Partial sums of all tasks that may go to the driver without a shuffle.
 DIRECT_BYTES = 16 << 20
@@ -237,26 +238,46 @@ def step_arrays(points: DataFrame, centres: np.ndarray, previous: np.ndarray | N
 
 def lloyd(points: DataFrame, k: int, threshold: float = 0.001, max_steps: int = 501,
           seeds: np.ndarray | None = None, slice_bytes: int = SLICE_BYTES,
-          cache: bool = True) -> Clustering:
+          cache: bool = True, log: str | None = None) -> Clustering:
     """Repeats steps until at most ``threshold`` of the points changed cluster.
 
     Centres and one count per step come to the driver; points stay cached where
     they are, or are scanned again each step with ``cache=False``. The membership returned is the one the last means were taken over.
+
+    With ``log``, a folder that driver and executors share, every step is
+    committed there, and a run that finds steps of an earlier one goes on after
+    the last: trace, centres and membership are those of a single run. A log of
+    other seeds, another k or another number of points raises.
     """
     spark = points.sparkSession
-    centres = seed_centers(points, k) if seeds is None else np.array(seeds, dtype=np.float64)
+    kept = StepLog(spark, log) if log else None
+    done, last = kept.read() if kept else ([], [])
+    centres = np.array(seeds, dtype=np.float64) if seeds is not None else last[0].centres if last else seed_centers(points, k)
     if len(centres) < 2:
         raise ValueError("k must be greater than 1")
     table = points.select("id", "x")
     if cache:
         table = table.persist()
-    used, previous, trace = centres, None, []
+    used, previous, trace = centres, None, [(step, changed, changed / n) for step, changed, n in done]
+    if kept and not last:
+        kept.write(Step(0, 0, 0, centres))
+    elif last:
+        if len(centres) != k or not np.array_equal(last[0].centres, centres):
+            raise ValueError(f"the log at {log} is of another run")
+        centres = last[-1].centres
+        if done:
+            used = previous = last[-2].centres
+    finished = bool(trace) and (trace[-1][2] <= threshold or len(trace) >= max_steps)
     # Asked once: under adaptive execution the question itself runs the shuffles below.
     parts = table.rdd.getNumPartitions()
     try:
-        for step in range(1, max_steps + 1):
+        for step in range(len(trace) + 1, max_steps + 1) if not finished else ():
             used = centres
             centres, changed, n = step_arrays(table, used, previous, slice_bytes, parts)
+            if done and n != done[-1][2]:
+                raise ValueError(f"the log at {log} is of {done[-1][2]} points, not {n}")
+            if kept:
+                kept.write(Step(step, changed, n, centres))
             previous = used
             delta = changed / n
             trace.append((step, changed, delta))

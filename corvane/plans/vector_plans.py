@@ -341,8 +341,8 @@ def minibatch_coverage(spark, folder):
     table = points(spark, folder)
     start = sampled_kmeans.minibatch_kmeans(table, K, 0, BATCHES).centres
     found = sampled_kmeans.minibatch_kmeans(table, K, PASSES, BATCHES)
-    cost = lambda m, name: assign_clusters(table, m).agg(F.sum("d2").alias(name))
-    both = cost(start, "before").join(cost(found.centres, "after"), F.lit(True))
+    measured = assign_clusters(assign_clusters(table, start, name="first", keep_vector=True), found.centres, name="last")
+    both = measured.agg(F.sum("first_d2").alias("before"), F.sum("last_d2").alias("after"))
     return both.select(
         F.lit(found.points).cast("bigint").alias("points"), F.lit(PASSES).alias("passes"),
         F.lit(found.seen).cast("bigint").alias("seen"), (F.col("after") <= F.col("before")).alias("cost_not_above_seeds"),

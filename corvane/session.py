@@ -54,6 +54,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any store that Spark reaches."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def frozen(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of ``df``: fixed row placement, no lineage."""
     shared_folder(df.sparkSession)

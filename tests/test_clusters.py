@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corvane.operators import bow, lloyd, sampled_kmeans
+from corvane.operators import bow, lloyd, sampled_kmeans, step_log
 from corvane.operators.nearest import assign_by_expression, assign_clusters, nearest
 from corvane.sources import binary_points
 
@@ -260,3 +260,86 @@ def test_bag_of_words_by_hand(spark, rows):
     images = spark.createDataFrame([("a", "u/a"), ("b", "u/b")], "image_id string, url string")
     emitted = sorted(map(tuple, bow.bow_rows(images, features).collect()))
     assert emitted == [("666", "u/a", "[0.447214, 0.894427]"), ("666", "u/b", None)]
+
+
+@pytest.mark.parametrize("batches", [1, 3, 8])
+def test_a_pass_reads_every_place_once(spark, batches):
+    places = batches * sampled_kmeans.PLACES
+    for turn in range(3):
+        dealt = sampled_kmeans.batches_of_pass(turn, places, batches)
+        assert len(dealt) == batches and sorted(p for b in dealt for p in b) == list(range(places))
+    assert batches == 1 or sampled_kmeans.batches_of_pass(0, places, batches) != sampled_kmeans.batches_of_pass(1, places, batches)
+
+
+def test_a_batch_opens_only_the_files_of_its_places(spark, plan_text):
+    table = point_table(spark, np.random.default_rng(13).random((500, 2)))
+    stored, path = sampled_kmeans.dealt(table, 8)
+    read = 0
+    for batch in sampled_kmeans.batches_of_pass(0, 8, 4):
+        part = stored.filter(F.col("place").isin(batch))
+        # Directories are left out before a file is opened; no row is read to be thrown away.
+        assert "PartitionFilters: [place" in plan_text(part) and "DataFilters: []" in plan_text(part)
+        read += part.count()
+    assert read == 500 and len(stored.inputFiles()) >= 8
+    assert sorted(r["id"] for r in stored.collect()) == list(range(500))
+
+
+class Lost(Exception):
+    pass
+
+
+def same_run(one, two):
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(one.trace) == key(two.trace) and key(one.membership) == key(two.membership)
+    assert np.array_equal(one.centre_array, two.centre_array) and one.steps == two.steps
+
+
+@pytest.mark.parametrize("lost_at", [0, 1, 2, 4])
+def test_a_run_is_taken_up_again(spark, tmp_path, monkeypatch, lost_at):
+    x = np.random.default_rng(14).integers(0, 40, (300, 2)).astype(float)
+    table = point_table(spark, x).repartition(3, "id")
+    whole = lloyd.lloyd(table, 6, threshold=0.0)
+    assert whole.steps > 5
+    write = step_log.StepLog.write
+
+    def fail(self, step):
+        if step.step == lost_at:
+            # What a driver leaves when it is lost while it writes.
+            half = step_log.Step(step.step, step.changed, step.n, step.centres)
+            rows = [(half.step, 6, half.changed, half.n, 0, half.centres[0].tolist())]
+            spark.createDataFrame(rows, step_log.SCHEMA).write.parquet(f"{self.folder}/{half.step:08d}")
+            raise Lost
+        write(self, step)
+
+    log = str(tmp_path / "log")
+    monkeypatch.setattr(step_log.StepLog, "write", fail)
+    with pytest.raises(Lost):
+        lloyd.lloyd(table, 6, threshold=0.0, log=log)
+    monkeypatch.setattr(step_log.StepLog, "write", write)
+    same_run(lloyd.lloyd(table, 6, threshold=0.0, log=log), whole)
+    # A finished run is not run again.
+    monkeypatch.setattr(step_log.StepLog, "write", None)
+    same_run(lloyd.lloyd(table, 6, threshold=0.0, log=log), whole)
+
+
+def test_a_log_of_another_run_raises(spark, tmp_path):
+    x = np.random.default_rng(15).random((60, 2))
+    table, log = point_table(spark, x), str(tmp_path / "log")
+    lloyd.lloyd(table, 3, threshold=-1, max_steps=2, log=log)
+    with pytest.raises(ValueError, match="another run"):
+        lloyd.lloyd(table, 4, threshold=-1, max_steps=3, log=log)
+    with pytest.raises(ValueError, match="points"):
+        lloyd.lloyd(table.filter("id > 9"), 3, threshold=-1, max_steps=3, log=log)
+    with pytest.raises(ValueError, match="another run"):
+        lloyd.lloyd(table, 3, threshold=-1, max_steps=3, seeds=x[10:13], log=log)
+
+
+def test_the_sweep_gives_one_result_whichever_way_points_are_assigned(spark):
+    x = np.random.default_rng(16).integers(0, 30, (400, 3)).astype(float)
+    table = point_table(spark, x)
+    for k in (2, 4, 8, 16, 32, 64, 128):
+        runs = [lloyd.lloyd(table, k, threshold=-1, max_steps=2, slice_bytes=size) for size in (1 << 20, 24 * max(1, k // 3))]
+        seeds = lloyd.seed_centers(table, k)
+        first = {tuple(r) for r in assign_by_expression(table, seeds).select("id", "cid").collect()}
+        assert first == {tuple(r) for r in assign_clusters(table, seeds).select("id", "cid").collect()}
+        same_run(*runs)
