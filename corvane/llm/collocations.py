@@ -39,7 +39,7 @@ LEAST = 100
 MOST = 2000
 #: Words that a task looks at together, hashes it keeps, and the size of the pair filter.
 TOKENS = 1 << 20
-KEPT_HASHES = 1 << 20
+KEPT_HASHES = 1 << 18
 MOST_BITS = 27
 BITS_PER_PAIR = 16
 
