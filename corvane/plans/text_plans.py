@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions import encoding, text
-from corvane.operators import chunks, ngrams, ranking, tags
+from corvane.operators import chunks, ngrams, ranking, tags, top_tags
 from corvane.plans.registry import load, plan
 from corvane.session import spread
 
@@ -341,3 +341,19 @@ def tag_similarity(spark, folder):
 def similarity_ranked(spark, folder):
     similar = tags.tag_similarity(post_counts(spark, folder))
     return ranking.global_rank(similar, [F.col("similarity"), F.col("a"), F.col("b")])
+
+
+#: Partners reported for each tag.
+NEAREST_TAGS = 3
+
+
+@plan(
+    "similar_tags_top",
+    f"WITH {SIMILAR_SQL}, both_ways AS (SELECT a AS tag, b AS other, similarity FROM pair_sums UNION ALL "
+    "SELECT b, a, similarity FROM pair_sums) "
+    "SELECT tag, CAST(rank AS INTEGER) AS rank, other, similarity FROM (SELECT *, "
+    "row_number() OVER (PARTITION BY tag ORDER BY similarity DESC, other) AS rank FROM both_ways) "
+    f"WHERE rank <= {NEAREST_TAGS}",
+)
+def similar_tags_top(spark, folder):
+    return top_tags.most_similar(post_counts(spark, folder), NEAREST_TAGS)
