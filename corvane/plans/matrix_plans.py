@@ -74,7 +74,7 @@ def matmul_rect(spark, folder):
 def gram_matrix(spark, folder):
     """All tag dot products; above the diagonal these are the tag similarities."""
     counts = post_counts(spark, folder)
-    return matrix.gram_matrix(counts.select(F.col("tag").alias("i"), F.col("word").alias("j"), F.col("cnt").alias("v")))
+    return matrix.gram_matrix(counts.select(F.col("tag").alias("i"), F.col("word").alias("j"), F.col("cnt").alias("v")), repeated=False)
 
 
 @plan(

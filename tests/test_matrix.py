@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corvane.operators import compare, matrix
 
@@ -70,6 +71,34 @@ def test_both_methods_return_the_same_cells(spark, rows):
         matrix.matmul(left, right, "other")
 
 
+@pytest.mark.parametrize("chunk_rows", [2, 1024])
+def test_gram_matrix_makes_each_product_once(spark, chunk_rows):
+    rng = np.random.default_rng(5)
+    x = (rng.random((40, 9)) < 0.3) * rng.random((40, 9))
+    x[:, 4] = 1.0
+    table = coo(spark, x)
+    assert np.allclose(dense(matrix.gram_matrix(table, chunk_rows=chunk_rows), (40, 40)), x @ x.T)
+    per_column = (x != 0).sum(axis=0)
+    products = matrix.gram_products(table, chunk_rows=chunk_rows).count()
+    assert products == int((per_column * (per_column + 1) // 2).sum())
+    both_sides = matrix.matmul_coo(table, matrix.transpose(table)).count()
+    assert matrix.gram_matrix(table).count() == both_sides
+
+
+def test_gram_matrix_of_repeated_and_empty_cells(spark):
+    x = spark.createDataFrame([(0, 0, 1.0), (0, 0, 2.0), (1, 0, 4.0), (1, 1, None)], "i bigint, j bigint, v double")
+    assert dense(matrix.gram_matrix(x), (2, 2)).tolist() == [[9, 12], [12, 16]]
+    assert matrix.gram_matrix(x.limit(0)).collect() == []
+
+
+def test_block_products_of_empty_and_many_partials(spark):
+    rng = np.random.default_rng(6)
+    a, b = rng.random((20, 300)), rng.random((300, 20))
+    out = matrix.matmul_block(coo(spark, a), coo(spark, b), block=4, group=1)
+    assert np.allclose(dense(out, (20, 20)), a @ b) and out.count() == 400
+    assert matrix.matmul_block(coo(spark, a), coo(spark, b).limit(0), block=4).collect() == []
+
+
 def test_transpose_and_cells(spark, rows):
     table = spark.createDataFrame([(0, [1.0, 2.0])], "id bigint, x array<double>")
     cells = matrix.cells(table)
@@ -88,3 +117,49 @@ def test_frame_diff_counts_copies(spark, rows):
     b = spark.createDataFrame([(1,), (3,), (None,)], "v int")
     assert rows(compare.frame_diff(a, b)) == [("left", 1, 2), ("left", 2, 1), ("right", 3, 1)]
     assert compare.frame_diff(a, a).count() == 0
+
+
+def exchanged(df):
+    """Bytes that the exchanges of a finished query moved."""
+    total, waiting = 0, [df._jdf.queryExecution().executedPlan()]
+    while waiting:
+        node = waiting.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            waiting.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            waiting.append(node.plan())
+            continue
+        if name == "Exchange":
+            total += node.metrics().get("dataSize").get().value()
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_equal_tables_exchange_digests_only(spark, tmp_path):
+    a = spark.range(60_000).selectExpr("id", "concat('row number ', id, ' with some text in it') AS text", "if(id % 7 = 0, null, id / 3) AS v")
+    a.repartition(5).write.parquet(str(tmp_path / "b"))
+    b = spark.read.parquet(str(tmp_path / "b"))
+    same = compare.frame_diff(a, b, buckets=64)
+    assert same.collect() == []
+    changed = compare.frame_diff(a, b.withColumn("text", F.expr("if(id = 77, 'other', text)")), buckets=64)
+    assert sorted((r["side"], r["id"], r["text"][:3], r["copies"]) for r in changed.collect()) == [("left", 77, "row", 1), ("right", 77, "oth", 1)]
+    every = compare.frame_diff(a, b.withColumn("v", F.col("id") * 2.0), buckets=64)
+    assert len(every.collect()) == 120_000
+    # Where nothing differs adaptive execution drops the second pass altogether.
+    assert exchanged(same) < exchanged(changed) < exchanged(every) / 10
+
+
+def test_frame_diff_of_nulls_types_and_nested_columns(spark, rows):
+    a = spark.createDataFrame([(None, 1), (2, None)], "x int, y int")
+    b = spark.createDataFrame([(1, None), (2, None)], "x bigint, y bigint")
+    assert sorted(compare.frame_diff(a, b).collect(), key=repr) == sorted([("left", None, 1, 1), ("right", 1, None, 1)], key=repr)
+    nested = "v array<int>, s struct<a:int,b:int>"
+    one = spark.createDataFrame([([None, 1], (None, 2)), ([3], None)], nested)
+    two = spark.createDataFrame([([1, None], (2, None)), ([3], None)], nested)
+    assert compare.frame_diff(one, two).count() == 2 and compare.frame_diff(one, one).count() == 0
+    zero, minus = (spark.createDataFrame([(v,), (float("nan"),)], "v double") for v in (0.0, -0.0))
+    assert compare.frame_diff(zero, minus).count() == 0
+    assert compare.frame_diff(one.limit(0), one.limit(0)).count() == 0
