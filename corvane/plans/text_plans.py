@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions import encoding, text
-from corvane.operators import chunks, ngrams, ranking, tags, top_tags
+from corvane.operators import chunks, ngrams, postings, ranking, tags, top_tags
 from corvane.plans.registry import load, plan
-from corvane.session import spread
+from corvane.session import frozen, spread
 
 ONE_TAG = "#en"
 
@@ -357,3 +357,11 @@ NEAREST_TAGS = 3
 )
 def similar_tags_top(spark, folder):
     return top_tags.most_similar(post_counts(spark, folder), NEAREST_TAGS)
+
+
+@plan("postings_roundtrip", f"WITH {POSTS_SQL} SELECT tag, word, cnt FROM counts")
+def postings_roundtrip(spark, folder):
+    """Tag vectors as compressed postings and back."""
+    counts = frozen(post_counts(spark, folder))
+    numbered = frozen(postings.numbers(counts, "word"))
+    return postings.decode(postings.encode(counts, numbered, "tag", "word"), numbered, "tag", "word")
