@@ -10,7 +10,8 @@ from corvane.functions import vectors
 from corvane.operators import bow, lloyd, sampled_kmeans
 from corvane.operators.nearest import assign_by_expression, assign_clusters
 from corvane.plans.registry import load, plan
-from corvane.sources import text_io
+from corvane.session import scratch_path
+from corvane.sources import models, text_io
 
 K = 10
 CODEWORDS = 16
@@ -382,6 +383,15 @@ def quantize(spark, folder):
     return quantized(spark, folder)
 
 
+@plan("codebook_reused", f"{WORDS_SQL} SELECT image_id, descriptor_id, word FROM words")
+def codebook_reused(spark, folder):
+    """One job keeps a codebook, another reads it and looks descriptors up in it."""
+    path = scratch_path(spark, "codebook")
+    models.save_vectors(lloyd.centre_rows(spark, seeds(spark, folder, CODEWORDS)), path)
+    kept = sorted(models.load_vectors(spark, path).select("cid", "m").collect())
+    return bow.quantize(descriptors(spark, folder), np.array([m for _, m in kept]))
+
+
 @plan("bow_histogram", f"{WORDS_SQL} SELECT image_id, word, n FROM bins")
 def bow_histogram(spark, folder):
     hist = bow.bow_histogram(quantized(spark, folder), CODEWORDS)
