@@ -8,14 +8,16 @@ ridge regression per language is solved (one versus the rest). A batch of
 texts is scored by two matrix products: presence x landmarks, kernels x
 coefficients.
 
-Only n-grams seen in at least ``MIN_DF`` fitting texts are kept, the
-``MOST_GRAMS`` most frequent ones. At most ``PER_LANG`` texts of a language and
-``MOST_SAMPLE`` in all are used for fitting, the ones with the lowest hash of
-their id, from the ``MOST_LANGS`` most frequent languages; the sample leaves the
-executors as sets of n-gram numbers, never as texts.
+The ``MOST_GRAMS`` n-grams that most fitting texts have are the model's columns.
+Every language is learned. At most ``PER_LANG`` texts of a language and
+``MOST_SAMPLE`` in all are used for fitting, the ones with the lowest hash of id
+and text; repeated rows count once. The sample leaves the executors as sets of
+n-gram numbers, never as texts, and no more rows than that come to the driver,
+however often an id is repeated.
 
 Null texts and texts without a letter are ``und`` with score 0. Without any
-labelled text every row is ``und``. Null labels are never learned.
+labelled text every row is ``und``. Null labels are never learned. A long text
+costs about 50 bytes a letter while it is measured.
 """
 
 from __future__ import annotations
@@ -25,17 +27,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from corvane.llm.common import stored
+
 SPECTRUM = 4
 GRAM_BITS = 20
-MIN_DF = 3
 MOST_GRAMS = 8192
 PER_LANG = 250
-#: Languages that are learned, the most frequent ones, and texts of the whole sample.
-MOST_LANGS = 200
+#: Texts of the whole sample.
 MOST_SAMPLE = 4000
 LANDMARKS_PER_LANG = 40
 RIDGE = 1e-2
@@ -108,38 +110,33 @@ class Model:
 
 
 def fit_sample(labelled: DataFrame, per_lang: int = PER_LANG) -> list[tuple[str, np.ndarray]]:
-    """``(lang, n-gram numbers)`` of at most about ``per_lang`` texts of each language.
+    """``(lang, n-gram numbers)`` of at most ``per_lang`` texts of each language and ``MOST_SAMPLE`` in all.
 
-    Languages are counted first; a text is drawn when the hash of its id is
-    below the share of its language. Rows of one id and text are drawn alike.
+    Texts with a letter are ranked in their language by a hash of id and text,
+    equal rows as one. Only the hashes are ranked; texts of the lowest ones are
+    read afterwards. With more languages than texts of the sample, the lowest
+    hashes of all first ranks are taken.
     """
-    usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    top = usable.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MOST_LANGS)
-    counts = {r["lang"]: r["count"] for r in top.collect()}
-    if not counts:
-        return []
-    per_lang = min(per_lang, max(1, MOST_SAMPLE // len(counts)))
-    share = F.element_at(F.create_map(*[
-        F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.5 * per_lang / n))
-    ]), F.col("lang"))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.xxhash64("doc_id", "text", F.lit("language")).alias("draw")
+    usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", draw)
+    draws = stored(usable.select("lang", "draw").distinct(), "language-draws")
+    per_lang = min(per_lang, max(1, MOST_SAMPLE // max(1, draws.select("lang").distinct().count())))
+    # Each task cuts a language at its lowest ranks before rows meet.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    ranked = draws.withColumn("place", place).filter(F.col("place") <= per_lang)
+    chosen = ranked.orderBy("place", "draw", "lang").limit(MOST_SAMPLE).select("lang", "draw")
 
     def numbers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch = batch[[has_letter(t) for t in batch["text"]]]
             sets = [np.unique(gram_numbers(t)).astype("<u4").tobytes() for t in batch["text"]]
             yield pd.DataFrame({"lang": batch["lang"], "draw": batch["draw"], "grams": pd.Series(sets, index=batch.index, dtype=object)})
 
-    drawn = usable.select("lang", "text", draw.alias("draw")).filter(F.col("draw") <= share)
-    rows = drawn.mapInPandas(numbers, "lang string, draw double, grams binary").collect()
-    rows.sort(key=lambda r: (r["lang"], r["draw"], bytes(r["grams"])))
-    kept: list[tuple[str, np.ndarray]] = []
-    seen: dict[str, int] = {}
-    for r in rows:
-        seen[r["lang"]] = seen.get(r["lang"], 0) + 1
-        if seen[r["lang"]] <= per_lang:
-            kept.append((r["lang"], np.frombuffer(r["grams"], dtype="<u4")))
-    return kept
+    # At most MOST_SAMPLE hashes.
+    drawn = usable.join(F.broadcast(chosen), ["lang", "draw"])
+    sets = drawn.mapInPandas(numbers, "lang string, draw bigint, grams binary")
+    rows = sets.groupBy("lang", "draw").agg(F.min("grams").alias("grams")).collect()
+    rows.sort(key=lambda r: (r["lang"], r["draw"]))
+    return [(r["lang"], np.frombuffer(r["grams"], dtype="<u4")) for r in rows]
 
 
 def fit(labelled: DataFrame, per_lang: int = PER_LANG, landmarks: int = LANDMARKS_PER_LANG, ridge: float = RIDGE) -> Model:
@@ -150,9 +147,8 @@ def fit(labelled: DataFrame, per_lang: int = PER_LANG, landmarks: int = LANDMARK
         return Model([], column, np.zeros((0, 0)), np.zeros(0), np.zeros((0, 0)))
     langs = sorted({lang for lang, _ in sample})
     seen = np.bincount(np.concatenate([g for _, g in sample]), minlength=1 << GRAM_BITS)
-    least = MIN_DF if len(sample) > 10 * MIN_DF else 1
     frequent = np.argsort(-seen, kind="stable")[:MOST_GRAMS]
-    frequent = np.sort(frequent[seen[frequent] >= least])
+    frequent = np.sort(frequent[seen[frequent] > 0])
     column[frequent] = np.arange(len(frequent))
     presence = np.zeros((len(sample), len(frequent) + 1), dtype=np.float32)
     for row, (_, grams) in zip(presence, sample, strict=True):

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corvane.llm import language_id, quality_ranking, url_filter
 
@@ -52,6 +53,65 @@ def test_kernel_of_a_landmark_with_itself_is_one(model):
     assert np.allclose(sample.sum(axis=1), np.asarray(model.landmark_norm, dtype=float) ** 2)
 
 
+def test_kernel_ridge_equals_a_plain_solution(model, spark):
+    """Kernels by counting common n-grams, one ridge regression per language over all landmarks."""
+    rows = [(100 * k + i, t, lang, None, None) for k, lang in enumerate(WORDS) for i, t in enumerate(sentences(k, 12, lang))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = language_id.fit(docs, per_lang=12, landmarks=12)
+    texts, langs = [r[1] for r in rows], [r[2] for r in rows]
+    sets = [set(language_id.gram_numbers(t).tolist()) for t in texts]
+    kept = set(np.flatnonzero(found.column >= 0).tolist())
+    assert kept == set.union(*sets)
+    kernel = lambda a, b: len(a & b) / np.sqrt(len(a) * len(b))
+    own = np.array([[kernel(a, b) for b in sets] for a in sets])
+    truth = np.array([[float(lang == x) for x in found.langs] for lang in langs])
+    # All sample texts are landmarks, so the Nystroem space is the whole one and this is plain kernel ridge regression.
+    weights = np.linalg.solve(own + language_id.RIDGE * np.eye(len(own)), truth)
+    other = [t for k, lang in enumerate(WORDS) for t in sentences(70 + k, 15, lang)]
+    plain = np.array([[kernel(set(language_id.gram_numbers(t).tolist()) & kept, b) for b in sets] for t in other]) @ weights
+    # Rows of one language weigh the same here, so the two differ by rounding alone.
+    assert np.allclose(found.outputs(other), plain, atol=0.02)
+    assert [found.langs[i] for i in plain.argmax(axis=1)] == found.predict(other)[0]
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i, " ".join(f"{chr(97 + i % 20)}{chr(97 + i // 20)}q{w}" for w in "abcde"), f"l{i:03}", None, None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = language_id.fit(docs)
+    assert len(found.langs) == 300
+    assert np.mean([p == r[2] for p, r in zip(found.predict([r[1] for r in rows])[0], rows)]) > 0.9
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_sample_is_bounded_whatever_the_ids_are(spark, monkeypatch, doc_id):
+    monkeypatch.setattr(language_id, "MOST_SAMPLE", 60)
+    one = spark.range(100_000).selectExpr(
+        f"CAST({'NULL' if doc_id is None else doc_id} AS BIGINT) AS doc_id", "concat('word number ', id) AS text",
+        "if(id % 3 = 0, 'xx', 'yy') AS lang")
+    sample = language_id.fit_sample(one)
+    assert len(sample) == 60 and {lang for lang, _ in sample} == {"xx", "yy"}
+    copies = language_id.fit_sample(one.withColumn("text", F.lit("the same text")))
+    assert len(copies) == 2
+    labels = spark.createDataFrame([(7, 1, 0), (8, 0, 0)], "doc_id bigint, quality int, toxic int")
+    x, y = quality_ranking.fit_sample(one, labels, 50)
+    assert len(x) == len(y) == (50 if doc_id else 0)
+
+
+def test_labels_of_held_out_rows_change_nothing(spark):
+    from corvane.llm import queries
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    held = queries.fold(3) == 1
+    turned = docs.withColumn("lang", F.when(held, F.lit("zz")).otherwise(F.col("lang")))
+    one, two = (language_id.fit(d.filter(~held)) for d in (docs, turned))
+    assert one.langs == two.langs and np.array_equal(one.weights, two.weights)
+    kept = queries.fold(5) != 0
+    other = labels.withColumn("quality", F.when(kept, F.col("quality")).otherwise(1 - F.col("quality")))
+    first, second = (quality_ranking.fit(docs.filter(kept), x.filter(kept)) for x in (labels, other))
+    assert np.array_equal(first.weights, second.weights) and first.threshold == second.threshold
+
+
 def test_grams_are_the_blended_spectrum():
     grams = language_id.gram_numbers("Ab, c")
     # " ab c " has 6 + 5 + 4 + 3 n-grams of 1 to 4 letters.
@@ -90,6 +150,33 @@ def test_ranking_of_awkward_rows_and_missing_labels(spark, awkward, documents):
     assert np.all(np.isfinite([quality_ranking.measures(t) for t in (None, "", " ", "a", "\U0001F600", "a" * 10**6)]))
 
 
+def test_scores_follow_a_plain_ranking(spark, documents):
+    """Pairs, loss, quantile cut and logistic curve worked out again with plain loops."""
+    draw = np.random.default_rng(8)
+    texts = [(" ".join(draw.choice(WORDS["en"], 40)) + ".", 1) for _ in range(30)] + [(junk(draw, 40), 0) for _ in range(20)]
+    docs = documents(*[(i, t) for i, (t, _) in enumerate(texts)])
+    labels = spark.createDataFrame([(i, q, 0) for i, (_, q) in enumerate(texts)], "doc_id bigint, quality int, toxic int")
+    ranker = quality_ranking.fit(docs, labels, pairs=2000)
+    x = np.array([quality_ranking.measures(t) for t, _ in texts])
+    y = np.array([q for _, q in texts])
+    assert np.allclose(ranker.centre, x.mean(axis=0)) and np.allclose(ranker.scale, np.maximum(x.std(axis=0), 1e-6))
+    z = np.clip((x - ranker.centre) / ranker.scale, -8, 8)
+    w = np.zeros(z.shape[1])
+    gaps = np.array([a - b for a in z[y == 1] for b in z[y == 0]])
+    for _ in range(4000):
+        p = 1 / (1 + np.exp(gaps @ w))
+        w -= 0.5 * (-(gaps * p[:, None]).mean(axis=0) + quality_ranking.PENALTY * w)
+    # Drawn pairs stand for all pairs: the same order of documents but for near ties.
+    assert np.corrcoef(z @ w, ranker.strength(x))[0, 1] > 0.97
+    strengths = sorted(float(v) for v in z @ ranker.weights)
+    at = (len(strengths) - 1) * float(np.mean(y == 0))
+    cut = (strengths[int(np.floor(at))] + strengths[int(np.ceil(at))]) / 2
+    assert np.isclose(cut, ranker.threshold)
+    plain = [1 / (1 + np.exp(-(4 * (s - cut) + np.log(0.3 / 0.7)))) for s in z @ ranker.weights]
+    got = {r.doc_id: r.score for r in quality_ranking.scored(docs, ranker).collect()}
+    assert np.allclose([got[i] for i in range(len(texts))], plain)
+
+
 def test_bradley_terry_minimises_its_loss():
     draw = np.random.default_rng(1)
     d = draw.normal(size=(400, 3)) + [0.5, -0.2, 0]
