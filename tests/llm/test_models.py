@@ -211,12 +211,90 @@ def test_url_parts_and_rules(spark, url, host, path, rule):
 
 
 def test_segmentation_takes_the_most_probable_words():
-    s = url_filter.Segmenter({"spam": 50, "farm": 40, "the": 900, "news": 80, "a": 500, "r": 1})
-    assert s.split("spamfarm") == ["spam", "farm"] and s.split("thenews") == ["the", "news"]
-    assert "".join(s.split("thexqznews")) == "thexqznews"
-    assert s.tokens("thenews.x9.com", "/Spam/12_3") == ["h:the", "h:news", "h:x", "h:0", "h:com", "p:spam", "p:0", "p:0"]
-    empty = url_filter.Segmenter({})
-    assert "".join(empty.split("abc")) == "abc"
+    counts = {"spam": 50, "farm": 40, "the": 900, "news": 80, "a": 500, "r": 1}
+    split = lambda name: url_filter.split(name, counts, sum(counts.values()) + 1)
+    assert split("spamfarm") == ["spam", "farm"] and split("thenews") == ["the", "news"]
+    assert "".join(split("thexqznews")) == "thexqznews" and url_filter.split("abc", {}, 5) == ["abc"]
+    assert len("".join(split("news" * 5000))) == 20_000
+
+
+def every_split(name):
+    if not name:
+        yield ()
+    for n in range(1, len(name) + 1):
+        for rest in every_split(name[n:]):
+            yield (name[:n], *rest)
+
+
+def test_viterbi_equals_all_splits():
+    draw = np.random.default_rng(9)
+    for _ in range(60):
+        name = "".join(draw.choice(list("abc"), 9))
+        counts = {"".join(draw.choice(list("abc"), int(draw.integers(1, 5)))): int(draw.integers(1, 50)) for _ in range(8)}
+        total = sum(counts.values()) + 1
+        cost = lambda w: -np.log(counts[w] / total) if w in counts else np.log(total) + 2.303 * len(w)
+        want = min(sum(map(cost, words)) for words in every_split(name))
+        assert np.isclose(sum(map(cost, url_filter.split(name, counts, total))), want)
+
+
+def plain_verdicts(pages):
+    """Rules aside: Viterbi with all words in one dictionary, and naive Bayes, row by row."""
+    import re
+    from collections import Counter
+
+    words = Counter(w for _, _, html in pages for w in re.findall("[a-z]+", re.sub("<[^>]*>", " ", html or "").lower()))
+    total = sum(words.values()) + 1
+
+    def tokens(host, path):
+        out = []
+        for mark, text in (("h:", host), ("p:", path.lower())):
+            for run in re.findall(r"[a-z]+|[0-9]+|[^a-z0-9./_-]", text):
+                parts = url_filter.split(run, words, total) if run[0].isalpha() else ["0" if run[0].isdigit() else run]
+                out += [mark + p for p in parts]
+        return out
+
+    return tokens
+
+
+def test_judged_equals_plain_bayes(spark):
+    from collections import Counter
+
+    draw = np.random.default_rng(10)
+    stems = ["good", "news", "spam", "farm", "shop", "extraordinarilylongwordofmanyletters", "xq"]
+    rows = []
+    for i in range(200):
+        name = "".join(draw.choice(stems, 3))
+        host = f"{name}.{draw.choice(['com', 'org', 'net'])}"
+        path = f"/{draw.choice(['de', 'fr', 'es'])}/{draw.choice(stems)}{'!' * int(draw.integers(2))}{i}"
+        rows.append((i, f"http://{host}{path}", f"<b>{' '.join(draw.choice(stems[:6], 12))}</b>"))
+    rows += rows[:3]
+    got = url_filter.judged(spark.createDataFrame(rows, PAGES)).collect()
+    assert sorted(r.page_id for r in got) == sorted(r[0] for r in rows)
+    tokens = plain_verdicts(rows)
+    counts, classes = {"allow": Counter(), "block": Counter()}, Counter()
+    for r in got:
+        if r.rule:
+            classes[r.verdict] += 1
+            counts[r.verdict].update(tokens(r.host, r.path))
+    size = len(set(counts["allow"]) | set(counts["block"])) + 1
+    totals = {v: sum(c.values()) + size for v, c in counts.items()}
+    for r in got:
+        odds = np.log(classes["block"] / classes["allow"]) + sum(
+            np.log((counts["block"][t] + 1) / totals["block"]) - np.log((counts["allow"][t] + 1) / totals["allow"]) for t in tokens(r.host, r.path)
+        )
+        if not r.rule and abs(odds) > 1e-6:
+            assert r.verdict == ("block" if odds > 0 else "allow"), r.url
+    assert {r.verdict for r in got if not r.rule} == {"allow", "block"}
+
+
+def test_more_words_than_a_dictionary_would_keep(spark):
+    """Rare words of a vocabulary above 50,000 split a name as frequent ones do."""
+    rare = ["zuq" + "".join(chr(97 + (i // 26**p) % 26) for p in range(4)) for i in range(60_000)]
+    words = spark.createDataFrame([(w, 1) for w in rare] + [("shop", 5000)], "word string, n bigint")
+    name = rare[0] + "shop" + rare[59_999]
+    runs = spark.createDataFrame([(name,), ("qqq",)], "run string")
+    got = {r.run: r.words for r in url_filter.segmented(runs, words, 65_001).collect()}
+    assert got == {name: [rare[0], "shop", rare[59_999]], "qqq": ["qqq"]}
 
 
 def test_unruled_urls_follow_their_tokens(spark):
