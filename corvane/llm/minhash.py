@@ -108,17 +108,21 @@ def beside_next(docs: DataFrame, columns: str = "doc_id bigint, text string") ->
 
     Ids are cut into ranges; every range also gets the first row of the range
     after it as a guest, and the last range the very first row. Nulls come
-    after all ids; rows of one id are ordered by a hash of their text. Only ids
-    are read to find the ranges. There are eight ranges per shuffle task, which
-    bounds the broadcast table of first rows and the window over it.
+    after all ids; rows of one id are ordered by a hash of their text, and an id
+    or nulls that fill several ranges are cut by that hash. Only ids are read to
+    find the ranges. There are about eight ranges per shuffle task, at most
+    twice as many, which bounds the broadcast table of first rows and the window
+    over it.
     """
-    marked, _ = key_buckets(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), "doc_id")
-    order = [F.col("top").desc_nulls_last()]
-    tops = marked.groupBy("bucket").agg(F.max("doc_id").alias("top"))
+    marked, _ = key_buckets(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), "doc_id", F.xxhash64("text"))
+    order = [F.col("top").desc_nulls_last(), F.col("top_hash").desc()]
+    # The row that comes first in descending order; a bucket of nulls has no other ids.
+    highest = F.max(F.struct("doc_id", F.xxhash64("text").alias("hash")))
+    tops = marked.groupBy("bucket").agg(highest.alias("first")).select("bucket", F.col("first.doc_id").alias("top"), F.col("first.hash").alias("top_hash"))
     every = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     host = F.coalesce(F.lag("bucket").over(Window.orderBy(*order)), F.last("bucket").over(every))
-    hosts = F.broadcast(tops.select(F.col("bucket").alias("of"), "top", host.alias("host")))
-    first = (F.col("bucket") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("top"))
+    hosts = F.broadcast(tops.select(F.col("bucket").alias("of"), "top", "top_hash", host.alias("host")))
+    first = (F.col("bucket") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("top")) & (F.xxhash64("text") == F.col("top_hash"))
     own = F.struct(F.col("bucket").alias("seat"), F.lit(0).alias("guest"))
     visit = F.struct(F.col("host").alias("seat"), F.lit(1).alias("guest"))
     seats = F.when(F.col("host").isNull(), F.array(own)).otherwise(F.array(own, visit))

@@ -95,7 +95,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, spaces: str =
 
         yield from as_batches(rows(), _SHARD, 1000)
 
-    marked, _ = key_buckets(docs.select("doc_id", "text"), "doc_id")
+    marked, _ = key_buckets(docs.select("doc_id", "text"), "doc_id", F.xxhash64("text"))
     order = ["bucket", F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
     seated = (
         marked.select("bucket", F.col("doc_id").cast("bigint"), "text")

@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 
 import numpy as np
@@ -5,7 +6,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corvane.llm import cutting_stock, elias_fano, packing, token_files
+from pyspark.sql import functions as F
+
+from corvane.llm import common, cutting_stock, elias_fano, packing, token_files
 from corvane.llm.encoder import Encoder, tokenizer_path
 
 FILES = [("byte_bpe_50k.json", "lead"), ("word_bpe_49k.json", "drop")]
@@ -156,3 +159,47 @@ def test_packing_wastes_little(spark, documents):
 def test_tail_is_cut_into_powers_of_two():
     assert packing.tail_cuts(4096 * 2 + 1500, 4096).tolist() == [4096, 8192, 9216, 9472, 9600, 9664, 9680, 9688, 9692]
     assert packing.tail_cuts(0, 4096).tolist() == []
+
+
+def hot_ids(spark, share):
+    """A third of all rows without an id, a third with one id, the rest with ids around it."""
+    kind = "CASE id % 3 WHEN 0 THEN NULL WHEN 1 THEN 500 ELSE id END"
+    return spark.range(3000).selectExpr(f"CAST({kind} AS BIGINT) AS doc_id", "concat('text ', id, ' of some words') AS text").sample(share, 4)
+
+
+def test_rows_of_one_id_and_of_none_are_spread_in_order(spark):
+    docs = hot_ids(spark, 1.0)
+    marked, n = common.key_buckets(docs, "doc_id", F.xxhash64("text"))
+    rows = marked.select("bucket", "doc_id", F.xxhash64("text").alias("hash")).collect()
+    assert len(rows) == 3000 and 0 <= min(r.bucket for r in rows) and max(r.bucket for r in rows) < n
+    order = sorted(rows, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.hash))
+    assert [r.bucket for r in order] == sorted(r.bucket for r in rows)
+    for hot in (None, 500):
+        places = [r.bucket for r in rows if r.doc_id == hot]
+        assert len(set(places)) >= 8 and max(places.count(p) for p in set(places)) <= 3000 // 20
+
+
+def test_files_of_hot_ids_give_back_every_document(spark, tmp_path):
+    docs = hot_ids(spark, 0.5)
+    path = str(tmp_path / "files")
+    token_files.write(docs, path, tokenizer_path("byte_bpe_50k.json"), 0)
+    got = token_files.read(spark, path).orderBy("start").collect()
+    want = sorted(brute([(r.doc_id, r.text) for r in docs.collect()], "byte_bpe_50k.json", 0), key=repr)
+    assert sorted(((r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in got), key=repr) == want
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+    ids = [r.doc_id for r in got if r.doc_id is not None]
+    assert ids == sorted(ids) and all(r.doc_id is None for r in got[len(ids):])
+
+
+def test_successors_of_hot_ids(spark):
+    from corvane.llm import minhash
+
+    docs = hot_ids(spark, 0.2)
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("hash")).collect()
+    order = sorted(rows, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), -r.hash))
+    want = []
+    for one, two in zip(order, [*order[1:], order[0]]):
+        edited = minhash.edited_text(one.text, two.text)
+        want.append((one.doc_id, hashlib.sha256(edited.encode()).hexdigest()))
+    got = [(r.doc_id, r.edited_sha256) for r in minhash.compared(docs).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
