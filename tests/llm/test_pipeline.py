@@ -157,17 +157,3 @@ def test_empty_documents_pass_through(spark, documents, folder):
         docs = stage(spark, docs, folder)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect() == []
-
-
-def test_entry_works_without_this_package(tmp_path):
-    import shutil
-    import subprocess
-    import sys
-    from pathlib import Path
-
-    root = Path(corpus_pipeline.__file__).resolve().parent
-    copy = tmp_path / "copy"
-    shutil.copytree(root / "corvane", copy / "corvane", ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    shutil.copy(root / "__spark_entry__.py", copy)
-    code = "import __spark_entry__ as e; n = e.queries(); assert len(n) > 80 and not any(k.startswith('op') for k in n); assert e.oracle_sql()"
-    assert subprocess.run([sys.executable, "-c", code], cwd=copy, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(copy)}).returncode == 0
