@@ -3,7 +3,9 @@
 Format name ``binary_points``; a path is one file or a folder of such files.
 Rows read as ``(id, x)``, numbered across the files in name order. A folder
 written here also holds ``_manifest``: its files in order, with their sizes. The
-manifest is what commits a write, and readers need to open no file to plan.
+manifest is what commits a write, and readers need to open no file to plan. A
+folder from elsewhere has none: Spark then lists its files, tasks read their
+headers, and row numbers are running sums over the files.
 """
 
 from __future__ import annotations
@@ -11,7 +13,6 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +25,7 @@ from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage,
 )
 
+from corvane.operators import ranking
 from corvane.operators.nearest import batch_matrix
 
 HEADER = np.dtype("<i4")
@@ -35,8 +37,6 @@ SPLIT_ROWS = 1 << 20
 FILE_BYTES = 128 << 20
 READ_ROWS = 8192
 MANIFEST = "_manifest"
-# Headers read at once where a folder has no manifest.
-HEADER_READERS = 32
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -61,23 +61,55 @@ def _manifest(path: str) -> list[tuple[str, int, int]] | None:
     if store.get_file_info(name).type != fs.FileType.File:
         return None
     with store.open_input_file(name) as source:
-        return [(f"{where.rstrip('/')}/{f}", n, d) for f, n, d in json.loads(source.read())]
+        return [(f"{path.rstrip('/')}/{f}", n, d) for f, n, d in json.loads(source.read())]
+
+
+def _header(path: str) -> tuple[int, int]:
+    """``(rows, width)`` of a file."""
+    store, name = _open(path)
+    with store.open_input_file(name) as source:
+        rows, width = np.frombuffer(source.read(2 * HEADER.itemsize), HEADER).tolist()
+    return rows, width
 
 
 def _sizes(path: str) -> list[tuple[str, int, int]]:
-    """``(file, rows, width)`` in order, from the manifest or the headers."""
+    """``(file, rows, width)`` in order, from the manifest or the header of a single file."""
     known = _manifest(path)
     if known is not None:
         return known
-    store, _ = _open(path)
+    store, where = _open(path)
+    if store.get_file_info(where).type != fs.FileType.File:
+        raise ValueError(f"{path} has no manifest: read it with read_binary_points")
+    return [(path, *_header(path))]
+
+
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, n, width)`` of the files of a folder, their headers read by tasks; a file of another length than its header says raises."""
 
-    def header(name: str) -> tuple[str, int, int]:
-        with store.open_input_file(name) as source:
-            n, width = np.frombuffer(source.read(2 * HEADER.itemsize), HEADER).tolist()
-        return name, n, width
+    def headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, lengths = (c.to_pylist() for c in batch.columns)
+            found = [_header(name) for name in names]
+            for name, length, (n, width) in zip(names, lengths, found, strict=True):
+                if length != 2 * HEADER.itemsize + n * width * VALUE.itemsize:
+                    raise ValueError(f"{name} holds {length} bytes, not {n} points of {width} coordinates")
+            sizes = [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(names), *sizes], names=["file", "n", "width"])
 
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        return list(pool.map(header, _data_files(path)))
+    # Only names and lengths are asked for, so no content is read here.
+    listed = spark.read.format("binaryFile").load(path).select("path", "length")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return listed.repartition(tasks, "path").mapInArrow(headers, "file string, n bigint, width bigint")
+
+
+def row_ranges(sizes: DataFrame, split_rows: int) -> DataFrame:
+    """``(file, first_id, row, rows, width)``: pieces of at most ``split_rows`` rows, numbered across the files in name order."""
+    placed = ranking.running_total(sizes.filter(F.col("n") > 0), [F.col("file")], "n", "earlier")
+    cut = placed.withColumn("row", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(split_rows).cast("bigint"))))
+    return cut.select(
+        "file", (F.col("earlier") + F.col("row")).alias("first_id"), "row",
+        F.least(F.lit(split_rows), F.col("n") - F.col("row")).alias("rows"), "width",
+    )
 
 
 @dataclass
@@ -103,17 +135,21 @@ class PointsReader(DataSourceReader):
         return out
 
     def read(self, partition: RowRange) -> Iterator[pa.RecordBatch]:
-        store, _ = _open(self.path)
-        line = partition.width * VALUE.itemsize
-        with store.open_input_file(partition.file) as source:
-            source.seek(2 * HEADER.itemsize + line * partition.row)
-            for at in range(0, partition.rows, READ_ROWS):
-                rows = min(READ_ROWS, partition.rows - at)
-                flat = np.frombuffer(source.read(rows * line), VALUE)
-                ids = np.arange(rows, dtype=np.int64) + partition.first_id + at
-                ends = pa.array(np.arange(rows + 1, dtype=np.int32) * partition.width)
-                x = pa.ListArray.from_arrays(ends, pa.array(flat, pa.float32()))
-                yield pa.RecordBatch.from_arrays([pa.array(ids), x], names=["id", "x"])
+        return _rows(partition)
+
+
+def _rows(piece: RowRange) -> Iterator[pa.RecordBatch]:
+    store, name = _open(piece.file)
+    line = piece.width * VALUE.itemsize
+    with store.open_input_file(name) as source:
+        source.seek(2 * HEADER.itemsize + line * piece.row)
+        for at in range(0, piece.rows, READ_ROWS):
+            rows = min(READ_ROWS, piece.rows - at)
+            flat = np.frombuffer(source.read(rows * line), VALUE)
+            ids = np.arange(rows, dtype=np.int64) + piece.first_id + at
+            ends = pa.array(np.arange(rows + 1, dtype=np.int32) * piece.width)
+            x = pa.ListArray.from_arrays(ends, pa.array(flat, pa.float32()))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), x], names=["id", "x"])
 
 
 @dataclass
@@ -210,8 +246,20 @@ class BinaryPoints(DataSource):
 
 
 def read_binary_points(spark: SparkSession, path: str, split_rows: int = SPLIT_ROWS) -> DataFrame:
-    spark.dataSource.register(BinaryPoints)
-    return spark.read.format(FORMAT).option("splitrows", split_rows).load(path)
+    """``(id, x)`` of a file or a folder; the driver opens a manifest or a single file's header, and nothing else."""
+    store, where = _open(path)
+    if store.get_file_info(where).type == fs.FileType.File or _manifest(path) is not None:
+        spark.dataSource.register(BinaryPoints)
+        return spark.read.format(FORMAT).option("splitrows", split_rows).load(path)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in batch.to_pylist():
+                yield from _rows(RowRange(**piece))
+
+    pieces = row_ranges(file_sizes(spark, path), split_rows)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return pieces.repartition(tasks, "file", "row").mapInArrow(read, SCHEMA)
 
 
 def write_binary_points(points: DataFrame, path: str, order: str = "id") -> None:

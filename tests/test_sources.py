@@ -91,6 +91,43 @@ def test_binary_points_round_trip_in_many_files(spark, tmp_path):
     assert np.array_equal([got[i] for i in range(500)], array)
 
 
+def written(folder, arrays):
+    folder.mkdir()
+    for i, array in enumerate(arrays):
+        (folder / f"part-{i:03}.bin").write_bytes(np.array(array.shape, "<i4").tobytes() + array.astype("<f4").tobytes())
+
+
+def test_a_folder_without_a_manifest_is_planned_by_tasks(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(3)
+    arrays = [rng.random((n, 4)).astype("<f4") for n in (5, 0, 17, 1, 30)]
+    written(tmp_path / "points", arrays)
+    (tmp_path / "points" / "_note").write_text("not data")
+
+    def none(*_):
+        raise AssertionError("the driver opened a file")
+
+    monkeypatch.setattr(binary_points, "_data_files", none)
+    table = binary_points.read_binary_points(spark, str(tmp_path / "points"), split_rows=6)
+    got = {r["id"]: r["x"] for r in table.collect()}
+    whole = np.concatenate(arrays)
+    assert sorted(got) == list(range(len(whole))) and np.array_equal([got[i] for i in range(len(whole))], whole)
+    ranges = binary_points.row_ranges(binary_points.file_sizes(spark, str(tmp_path / "points")), 6).collect()
+    assert sum(r["rows"] for r in ranges) == len(whole) and max(r["rows"] for r in ranges) == 6
+
+
+def test_a_cut_file_and_an_empty_folder(spark, tmp_path):
+    written(tmp_path / "cut", [np.ones((4, 2))])
+    path = tmp_path / "cut" / "part-000.bin"
+    path.write_bytes(path.read_bytes()[:-3])
+    with pytest.raises(Exception, match="not 4 points"):
+        binary_points.read_binary_points(spark, str(tmp_path / "cut")).collect()
+    (tmp_path / "empty").mkdir()
+    assert binary_points.read_binary_points(spark, str(tmp_path / "empty")).collect() == []
+    spark.dataSource.register(binary_points.BinaryPoints)
+    with pytest.raises(Exception, match="no manifest"):
+        spark.read.format(binary_points.FORMAT).load(str(tmp_path / "cut")).collect()
+
+
 def test_vector_tables(spark, tmp_path, rows):
     table = spark.createDataFrame([(1, [1.0])], "cid int, m array<double>")
     models.save_vectors(table, str(tmp_path / "v"))
