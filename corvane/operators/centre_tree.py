@@ -6,7 +6,7 @@ import numpy as np
 
 # Centres of a leaf, points that go down the tree together, the share of all distances above which a tree does not
 # pay, and steps that move two cluster means before a ball is split.
-LEAF = 32
+LEAF = 64
 BLOCK = 1 << 14
 WORTH = 0.25
 SPLIT_STEPS = 4

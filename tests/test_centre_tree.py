@@ -38,7 +38,7 @@ def test_equals_brute_force_whatever_the_scale(far):
 def test_few_distances_are_measured_where_centres_lie_in_clusters():
     rng = np.random.default_rng(5)
     x, m = clustered(rng, 5000, 32, 300, 0.1), clustered(np.random.default_rng(5), 6000, 32, 300, 0.1)
-    tree = CentreTree(m)
+    tree = CentreTree(m, 32)
     index, margin = tree.search(x, margin=True)
     plain, apart = nearest.nearest_margin(x, m)
     assert (index == plain).all() and np.allclose(margin, apart, atol=1e-9)
