@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import compress
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +37,12 @@ from corvane.llm.common import stored, tasks
 ORDER = 5
 LEAST = 100
 MOST = 2000
-#: Words that a task looks at together, hashes it keeps, and the size of the pair filter.
-TOKENS = 1 << 20
-KEPT_HASHES = 1 << 18
+#: Words that a task holds as objects at a time, words it counts before it passes counts on, rows of a batch it passes on,
+#: hashes it keeps, and the size of the pair filter.
+TOKENS = 1 << 17
+COUNTED = 1 << 20
+ROWS = 1 << 16
+KEPT_HASHES = 1 << 16
 MOST_BITS = 27
 BITS_PER_PAIR = 16
 
@@ -90,32 +93,53 @@ def by_language(batches: Iterator[pa.RecordBatch], most: int = TOKENS) -> Iterat
             held.setdefault(lang, []).extend(words)
             size += len(words)
             if size >= most:
-                yield from held.items()
-                held, size = {}, 0
+                while held:
+                    yield held.popitem()
+                size = 0
     yield from held.items()
 
 
+def _batch(lang: str, words: list[bytes] | None, pairs: np.ndarray | None, n: np.ndarray) -> pa.RecordBatch:
+    word = pa.nulls(len(n), pa.string()) if words is None else pa.array(words, pa.binary()).cast(pa.string())
+    pair = pa.nulls(len(n), pa.int64()) if pairs is None else pa.array(pairs.view(np.int64))
+    return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(n)), word, pair, pa.array(n, pa.int64())], schema=_COUNTED)
+
+
+def count_batches(batches: Iterator[pa.RecordBatch], most: int = COUNTED) -> Iterator[pa.RecordBatch]:
+    """Counts of every ``most`` words. Only distinct words are held meanwhile, and eight bytes for each pair."""
+    hashes = _Hashes()
+    held: dict[str, tuple[Counter, list[np.ndarray]]] = {}
+    size = 0
+
+    def passed_on() -> Iterator[pa.RecordBatch]:
+        while held:
+            lang, (single, mixed) = held.popitem()
+            yield _batch(lang, None, None, np.array([single.total()]))
+            some = iter(single.items())
+            while part := list(islice(some, ROWS)):
+                yield _batch(lang, [w for w, _ in part], None, np.array([n for _, n in part]))
+            del single
+            pairs, times = np.unique(np.concatenate(mixed), return_counts=True)
+            mixed.clear()
+            for at in range(0, len(pairs), ROWS):
+                yield _batch(lang, None, pairs[at : at + ROWS], times[at : at + ROWS])
+
+    for lang, words in by_language(batches):
+        single, pairs = held.setdefault(lang, (Counter(), []))
+        single.update(words)
+        del single[_BREAK]
+        mixed, inside = pair_hashes(words, lang, hashes)
+        pairs.append(mixed[inside])
+        size += len(words)
+        if size >= most:
+            yield from passed_on()
+            size = 0
+    yield from passed_on()
+
+
 def counted(docs: DataFrame) -> DataFrame:
     """``lang, word, pair, n``: occurrences by language (word and pair null), by word, and by hash of a pair (word null)."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for lang, words in by_language(batches):
-            single = Counter(words)
-            del single[_BREAK]
-            mixed, inside = pair_hashes(words, lang, hashes)
-            pairs, times = np.unique(mixed[inside], return_counts=True)
-            n = 1 + len(single)
-            columns = [
-                [lang] * (n + len(pairs)), [None, *single.keys(), *[None] * len(pairs)],
-                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(pairs.view(np.int64))]),
-                np.concatenate([[single.total()], np.fromiter(single.values(), np.int64, len(single)), times]),
-            ]
-            arrays = [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.binary()).cast(pa.string()), columns[2],
-                      pa.array(columns[3], pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, schema=_COUNTED)
-
-    found = _texts(docs).mapInArrow(count, "lang string, word string, pair bigint, n bigint")
+    found = _texts(docs).mapInArrow(count_batches, "lang string, word string, pair bigint, n bigint")
     return found.groupBy("lang", "word", "pair").agg(F.sum("n").alias("n"))
 
 
@@ -150,23 +174,27 @@ def runs(docs: DataFrame, filter_: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(filter_)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for lang, words in by_language(batches):
-            mixed, inside = pair_hashes(words, lang, hashes)
-            good = np.concatenate([[False], inside & passes(mixed, shared.value), [False]])
-            # A word is in a run if the pair before or after it is good, and opens one if only the pair after it is.
-            member = good[:-1] | good[1:]
-            starts = np.flatnonzero((~good[:-1] & good[1:])[member])
-            flat = list(compress(words, member.tolist()))
-            for at in range(0, len(starts), 100_000):
-                ends = np.append(starts, len(flat))[at : at + 100_001]
-                values = pa.array(flat[ends[0] : ends[-1]], pa.binary()).cast(pa.string())
-                lists = pa.ListArray.from_arrays(pa.array((ends - ends[0]).astype(np.int32)), values)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(lists), pa.string()), lists], schema=_RUNS)
+        yield from run_batches(batches, shared.value)
 
     return _texts(docs).mapInArrow(cut, "lang string, words array<string>")
 
 
+def run_batches(batches: Iterator[pa.RecordBatch], filter_: np.ndarray) -> Iterator[pa.RecordBatch]:
+    hashes = _Hashes()
+    for lang, words in by_language(batches):
+        mixed, inside = pair_hashes(words, lang, hashes)
+        good = np.concatenate([[False], inside & passes(mixed, filter_), [False]])
+        # A word is in a run if the pair before or after it is good, and opens one if only the pair after it is.
+        member = good[:-1] | good[1:]
+        starts = np.flatnonzero((~good[:-1] & good[1:])[member])
+        flat = list(compress(words, member.tolist()))
+        for at in range(0, len(starts), ROWS):
+            ends = np.append(starts, len(flat))[at : at + ROWS + 1]
+            values = pa.array(flat[ends[0] : ends[-1]], pa.binary()).cast(pa.string())
+            lists = pa.ListArray.from_arrays(pa.array((ends - ends[0]).astype(np.int32)), values)
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(lists)), lists], schema=_RUNS)
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
 

@@ -97,3 +97,27 @@ def test_scores_are_exact(spark):
     df = spark.createDataFrame(cases, "a bigint, n bigint, l bigint, r bigint")
     got = [r[0] for r in df.select(collocations.score(*map(F.col, ["a", "n", "l", "r"]))).collect()]
     assert got == [1000 * a * n // (x * y) for a, n, x, y in cases]
+
+
+def test_workers_hold_few_words_and_pass_on_small_batches():
+    """A million words in two languages: few are held as objects, batches stay small and no count is lost."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = " ".join(f"word{i % 2003} other{i % 997}" for i in range(50_000))
+    full = [pa.RecordBatch.from_pydict({"lang": ["en", "fr"], "text": [text, text]}) for _ in range(5)]
+    tracemalloc.start()
+    most = max(len(words) for _, words in collocations.by_language(iter(full)))
+    totals, singles, pairs = Counter(), Counter(), Counter()
+    for batch in collocations.count_batches(iter(full)):
+        assert batch.num_rows <= 1 << 16
+        for lang, word, pair, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            (totals if word is None and pair is None else singles if pair is None else pairs)[lang] += n
+    everything = np.full(1 << 10, -1, dtype=np.int64).view(np.uint64)
+    kept = sum(len(batch.column(1).flatten()) for batch in collocations.run_batches(iter(full), everything))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # One text and what is held before it, not all the million words.
+    assert most <= 300_000 and peak < 60 << 20
+    assert totals == singles == {"en": 500_000, "fr": 500_000} and pairs == {"en": 499_995, "fr": 499_995} and kept == 1_000_000
