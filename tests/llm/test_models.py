@@ -177,6 +177,35 @@ def test_scores_follow_a_plain_ranking(spark, documents):
     assert np.allclose([got[i] for i in range(len(texts))], plain)
 
 
+def test_every_labelled_document_and_pair_counts(spark, documents):
+    """Above 2,000 documents of a label and 40,000 pairs: the same model as plain sums over all documents and all pairs."""
+    draw = np.random.default_rng(11)
+    plain = lambda: " ".join(draw.choice(WORDS["en"], int(draw.integers(3, 30)))) + draw.choice([".", "!!", "", " #1"])
+    texts = [(plain(), 1) for _ in range(2300)] + [(junk(draw, 12) if i % 2 else plain(), 0) for i in range(40)]
+    docs = documents(*[(i, t) for i, (t, _) in enumerate(texts)])
+    labels = spark.createDataFrame([(i, q, 0) for i, (_, q) in enumerate(texts)], "doc_id bigint, quality int, toxic int")
+    ranker = quality_ranking.fit(docs, labels)
+    x = np.array([quality_ranking.measures(t) for t, _ in texts])
+    y = np.array([q for _, q in texts])
+    assert np.allclose(ranker.centre, x.mean(axis=0), atol=1e-11)
+    assert np.allclose(ranker.scale, np.maximum(x.std(axis=0), 1e-6), atol=1e-11)
+    z = np.clip((x - x.mean(axis=0)) / np.maximum(x.std(axis=0), 1e-6), -8, 8)
+    gaps = (z[y == 1][:, None] - z[y == 0]).reshape(-1, z.shape[1])
+    assert len(gaps) == 92_000
+    assert np.allclose(ranker.weights, quality_ranking.bradley_terry(gaps), atol=1e-5)
+    strengths = np.sort(ranker.strength(x))
+    at = (len(strengths) - 1) * float(np.mean(y == 0))
+    assert np.isclose(ranker.threshold, (strengths[int(np.floor(at))] + strengths[int(np.ceil(at))]) / 2, atol=1e-12)
+
+
+def test_value_at_a_rank(spark):
+    draw = np.random.default_rng(12)
+    values = np.concatenate([draw.normal(size=9000), np.full(500, 0.25), [1e9, -1e-300, 0.0, 5e-324]])
+    frame = spark.createDataFrame([(float(v),) for v in values], "v double")
+    for rank in (0, 1, 4750, 5700, 9502, len(values) - 1):
+        assert quality_ranking.at_rank(frame, rank) == np.sort(values)[rank]
+
+
 def test_bradley_terry_minimises_its_loss():
     draw = np.random.default_rng(1)
     d = draw.normal(size=(400, 3)) + [0.5, -0.2, 0]
