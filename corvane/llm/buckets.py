@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import tasks
+from corvane.llm.common import stored, tasks
 
 CHUNK = 1024
 #: Pairs that one call of a comparison may hold.
@@ -23,11 +23,14 @@ def met(slots: DataFrame, chunk: int = CHUNK, large: DataFrame | None = None) ->
     chunks meet pairwise, each pair a group of its own. Only those slots are
     listed, so the list is shorter than the rows by that factor. ``large`` gives
     ``slot, chunks`` of the slots to cut where the number of rows does not decide.
+    The list is stored, so that the join knows its size: rows are shuffled for it
+    only if the list is too long to broadcast.
     """
     if large is None:
         large = slots.groupBy("slot").count().filter(F.col("count") > chunk).select(
             "slot", F.ceil(F.col("count") / chunk).cast("int").alias("chunks")
         )
+    large = stored(large, "large-slots")
     own = F.pmod(F.xxhash64("item"), F.col("chunks")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(
         F.least(own, j).alias("i"), F.greatest(own, j).alias("j")

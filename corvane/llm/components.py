@@ -32,11 +32,13 @@ def contracted(edges: DataFrame) -> tuple[DataFrame, int]:
     on and multiply them in every join. What a round replaces is deleted. Only
     an emptiness test comes to the driver. Last, the smallest node of every component becomes its root.
     """
-    ends = edges.filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+    # Edges come out of the dearest joins; unless stored, the nodes and the edges would each run those.
+    ends = stored(edges.filter(F.col("a").isNotNull() & F.col("b").isNotNull()).select("a", "b"), "ends")
     roots = stored(
         ends.select(F.col("a").alias("node")).union(ends.select("b")).distinct().withColumn("root", F.col("node")), "roots"
     )
     live = stored(_simple(ends), "edges")
+    discard(ends)
     rounds = 0
     while not live.isEmpty():
         step = _pointers(live, rounds)

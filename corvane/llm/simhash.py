@@ -214,15 +214,17 @@ def near_duplicates(
 def representatives(docs: DataFrame, found: DataFrame) -> DataFrame:
     """One row of ``docs`` per component of ``found``: lowest id (nulls last), then lowest text hash.
 
-    Rows that agree in both are reduced to one before they meet.
+    Rows that agree in both are reduced to one before they meet, and the join has
+    the keys of that grouping (a null id as a flag), so texts are shuffled once.
     """
     first = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("doc"), F.col("text_hash").alias("hash"))
     # Components without any id have a null number; their fingerprint root tells them apart.
-    chosen = found.groupBy("root").agg(F.min(first).alias("first")).select(
-        F.col("first.doc").alias("__doc"), F.col("first.hash").alias("__hash")
-    ).distinct()
-    hashed = docs.withColumn("__own", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = hashed["doc_id"].eqNullSafe(chosen["__doc"]) & (hashed["__own"] == chosen["__hash"])
-    kept = hashed.join(chosen, same, "left_semi")
+    no, doc, own = (F.col(f"first.{c}").alias(f"__{c}") for c in ("no", "doc", "hash"))
+    chosen = found.groupBy("root").agg(F.min(first).alias("first")).select(no, F.coalesce(doc, F.lit(0)).alias("__doc"), own).distinct()
     row = F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("row")
-    return kept.groupBy("doc_id", "__own").agg(row).select("doc_id", "row.*").select(*docs.columns)
+    rows = docs.groupBy(
+        F.col("doc_id").isNull().alias("__no"), F.coalesce("doc_id", F.lit(0)).alias("__doc"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("__hash"),
+    ).agg(row)
+    kept = rows.join(chosen, ["__no", "__doc", "__hash"], "left_semi")
+    return kept.select(F.when(~F.col("__no"), F.col("__doc")).alias("doc_id"), "row.*").select(*docs.columns)

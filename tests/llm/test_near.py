@@ -324,3 +324,32 @@ def test_texts_of_one_fingerprint_are_linked_by_similarity_only(documents, monke
     rows = [(1, "a b c d e f g h"), (2, "A b c d e f g H"), (3, "q r s t u v w x"), (4, None), (5, " ")]
     found = simhash.near_duplicates(documents(*rows), 5, 256, 54, simhash.drawn_masks(64, 18, 256), 0.8).collect()
     assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
+
+
+def test_components_run_what_gives_their_edges_once(spark):
+    ran = spark.sparkContext.accumulator(0)
+
+    def edges(batches):
+        for batch in batches:
+            ran.add(batch.num_rows)
+            yield batch
+
+    found = components.components(spark.range(40).selectExpr("id AS a", "id + 1 AS b").mapInArrow(edges, "a bigint, b bigint"))
+    assert {r.root for r in found.collect()} == {0}
+    assert ran.value == 40
+
+
+def test_slots_are_shuffled_once_to_meet(spark, plan_text):
+    slots = spark.createDataFrame([(i % 3, bytes([i])) for i in range(30)], "slot bigint, item binary")
+    plan = plan_text(buckets.met(slots, 5))
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_representatives_shuffle_texts_once(spark, documents, plan_text):
+    docs = documents((0, "a"), (0, "b"), (None, "b"), (None, "c"), (None, None), (None, ""), (3, "a"), (3, "a"))
+    hashed = docs.selectExpr("doc_id", "xxhash64(coalesce(text, '')) AS text_hash")
+    found = spark.createDataFrame([(*r, r.text_hash) for r in hashed.collect()], "doc_id bigint, text_hash bigint, root bigint")
+    kept = simhash.representatives(docs, found)
+    # Rows by root, what is chosen, and the texts.
+    assert plan_text(kept).count("Exchange hashpartitioning") == 3
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == [(0, "a"), (0, "b"), (None, "c"), (None, None)]
